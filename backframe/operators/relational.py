@@ -119,33 +119,3 @@ def observed_cells(df: DataFrame, predictor: str, response: str) -> DataFrame:
         .groupBy("x", "y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-
-
-def column_summary(
-    df: DataFrame, columns: Sequence[str], accuracy: int | None = None
-) -> DataFrame:
-    """Mean, minimum, maximum and median of each column, from a single pass.
-
-    The median is exact and interpolates, which keeps a count per distinct value; name an
-    ``accuracy`` for the approximate one where columns have very many distinct values.
-    """
-
-    def median(c: str) -> Column:
-        if accuracy is None:
-            return F.percentile(c, 0.5)
-        return F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy)
-
-    return df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("name"),
-                    F.avg(c).alias("mean"),
-                    F.min(F.col(c).cast("double")).alias("min"),
-                    F.max(F.col(c).cast("double")).alias("max"),
-                    median(c).alias("median"),
-                )
-                for c in columns
-            ]
-        ).alias("s")
-    ).select(F.inline("s"))

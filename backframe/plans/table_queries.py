@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from backframe.functions.expressions import threshold_flag, whole_number
-from backframe.operators import prepare, relational
+from backframe.operators import distribution, prepare, relational
 from backframe.plans import games
 from backframe.plans.registry import query
 from backframe.plans.tables import CATEGORICAL, CONTINUOUS, TABLES, load, view_sql
@@ -535,7 +535,7 @@ def streak_adjust(spark, sf):
     ),
 )
 def summary_stats(spark, sf):
-    summary = relational.column_summary(load(spark, sf, "sales"), CONTINUOUS)
+    summary = distribution.column_summary(load(spark, sf, "sales"), CONTINUOUS)
     return summary.select(
         "name", F.round("mean", 9).alias("mean"), "min", "max",
         F.round("median", 6).alias("median"),
