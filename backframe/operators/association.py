@@ -20,19 +20,19 @@ def exploded_pairs(
     df: DataFrame, values: Column, keep: Sequence[Column | str] = (), diagonal: bool = False
 ) -> DataFrame:
     """(i, a, j, b) for every pair of positions i < j (i <= j) of an array column."""
+    # The outer form keeps Spark from guarding against empty arrays, which would compute the
+    # array expression a second time below the explode.
     first = df.select(*keep, values.alias("__v")).select(
-        "*", F.posexplode("__v").alias("i", "a")
+        "*", F.posexplode_outer("__v").alias("i", "a")
     ).where(F.col("a").isNotNull())
     start = F.col("i") + (1 if diagonal else 2)
     rest = F.slice("__v", start, F.greatest(F.size("__v") - start + 1, F.lit(0)))
-    offset = F.col("i") + F.lit(0 if diagonal else 1)
+    kept = first.columns[: len(keep)]
     return (
-        first.select("*", rest.alias("__rest"))
-        .drop("__v")
-        .select("*", F.posexplode("__rest").alias("__k", "b"))
+        first.select(*kept, "i", "a", F.posexplode(rest).alias("__k", "b"))
         .where(F.col("b").isNotNull())
-        .withColumn("j", F.col("__k") + offset)
-        .drop("__rest", "__k")
+        .withColumn("j", F.col("__k") + F.col("i") + F.lit(0 if diagonal else 1))
+        .drop("__k")
     )
 
 

@@ -8,108 +8,133 @@ value has a bin. A constant column gets a thousandth of its value as room on eit
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from backframe.functions.expressions import clean_double, pick
+from backframe.functions.expressions import clean_double
 
 _MARGIN = 0.001
 
 
-def column_ranges(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """One row: an array with (lo, hi, step, floor) per column; ``floor`` is the first edge."""
-    ends = df.agg(
-        F.array(
-            *[
-                F.struct(F.min(clean_double(c)).alias("a"), F.max(clean_double(c)).alias("b"))
-                for c in columns
-            ]
-        ).alias("ends")
-    )
-
-    def widen(e: Column) -> Column:
-        constant = e["a"] == e["b"]
-        room = F.when(e["a"] == 0.0, F.lit(_MARGIN)).otherwise(F.abs(e["a"]) * F.lit(_MARGIN))
-        lo = F.when(constant, e["a"] - room).otherwise(e["a"])
-        hi = F.when(constant, e["b"] + room).otherwise(e["b"])
-        return F.struct(
-            lo.alias("lo"),
-            hi.alias("hi"),
-            ((hi - lo) / F.lit(float(bins))).alias("step"),
-            F.when(constant, lo).otherwise(lo - (hi - lo) * F.lit(_MARGIN)).alias("floor"),
-        )
-
-    return ends.select(F.transform("ends", widen).alias("ranges"))
-
-
-def bin_index(value: Column, lo: Column, step: Column, bins: int) -> Column:
-    """How many inner edges ``lo + k * step`` lie below the value; NULL for a missing value.
-
-    Dividing gives the index up to rounding, and comparing with the two neighbouring edges
-    settles values on or near an edge exactly.
-    """
+@dataclass(frozen=True)
+class Range:
+    """Even bins over ``[lo, hi]``; the first one is open down to ``floor``."""
+
+    lo: float | None
+    hi: float | None
+    step: float | None
+    floor: float | None
+    bins: int
+
+    @staticmethod
+    def over(smallest: float | None, largest: float | None, bins: int) -> Range:
+        if smallest is None or largest is None:
+            return Range(None, None, None, None, bins)
+        lo, hi = smallest, largest
+        if lo == hi:
+            room = _MARGIN if lo == 0.0 else abs(lo) * _MARGIN
+            lo, hi = lo - room, hi + room
+            floor = lo
+        else:
+            floor = lo - (hi - lo) * _MARGIN
+        return Range(lo, hi, (hi - lo) / bins, floor, bins)
+
+    def edges(self) -> list[tuple[int, float, float]]:
+        """(bin, lower, upper) of every bin; none for a column without values."""
+        if self.lo is None:
+            return []
+        inner = [self.lo + k * self.step for k in range(1, self.bins)]
+        bounds = [self.floor, *inner, self.hi]
+        return [(k, bounds[k], bounds[k + 1]) for k in range(self.bins)]
+
+
+@dataclass(frozen=True)
+class Overview:
+    """One pass over a frame: the columns' ranges, the mean response and the row count."""
+
+    ranges: list[Range]
+    mean: float | None
+    rows: int
+
+
+def overview(
+    df: DataFrame, columns: Sequence[str], bins: int = 10, response: str | None = None
+) -> Overview:
+    facts = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        (F.lit(None).cast("double") if response is None else F.avg(response)).alias("mean"),
+        *[F.min(clean_double(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
+        *[F.max(clean_double(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
+    ).first()
+    ranges = [Range.over(facts[f"lo{i}"], facts[f"hi{i}"], bins) for i in range(len(columns))]
+    return Overview(ranges, facts["mean"], facts["rows"])
+
+
+def bin_by_edges(value: Column, r: Range) -> Column:
+    """Index of the first bin whose upper edge is not below the value; NULL if missing."""
+    if r.lo is None:
+        return F.lit(None).cast("int")
+    bins = r.edges()
+    index = F.when(value.isNull(), F.lit(None).cast("int"))
+    for k, _, upper in bins[:-1]:
+        index = index.when(value <= F.lit(upper), F.lit(k))
+    return index.otherwise(F.lit(bins[-1][0]))
+
+
+def with_fine_bin(df: DataFrame, value: str, lo: Column, step: Column, bins: int,
+                  alias: str) -> DataFrame:
+    """The same index for many bins: a division, set right by the two nearest edges."""
+    v = F.col(value)
     guess = F.greatest(
-        F.lit(0), F.least(F.lit(bins - 1), F.ceil(F.try_divide(value - lo, step)).cast("int") - 1)
+        F.lit(0), F.least(F.lit(bins - 1), F.ceil((v - lo) / step).cast("int") - 1)
+    )
+    g = F.col("__guess")
+    settled = (
+        F.when((g > 0) & (v <= F.col("__lo") + g * F.col("__step")), g - 1)
+        .when((g < bins - 1) & (v > F.col("__lo") + (g + 1) * F.col("__step")), g + 1)
+        .otherwise(g)
     )
-    left = lo + guess * step
-    right = lo + (guess + 1) * step
-    return F.when(
-        value.isNotNull(),
-        guess
-        - F.when((guess > 0) & (value <= left), 1).otherwise(0)
-        + F.when((guess < bins - 1) & (value > right), 1).otherwise(0),
+    return (
+        df.select("*", lo.alias("__lo"), step.alias("__step"), guess.alias("__guess"))
+        .withColumn(alias, settled)
+        .drop("__lo", "__step", "__guess")
     )
 
 
 def binned(
     df: DataFrame,
     columns: Sequence[str],
-    bins: int,
+    ranges: Sequence[Range],
     keep: Sequence[Column | str] = (),
-    alias: str = "bins",
 ) -> DataFrame:
-    """``keep`` and an array of the columns' bin indexes.
-
-    The ranges are read once as a column of their own; the expressions below share it.
-    """
-    ranges = column_ranges(df, columns, bins).scalar()
-    rows = df.select(*keep, *[clean_double(c).alias(f"__{c}") for c in columns],
-                     ranges.alias("__ranges"))
-    kept = rows.columns[: len(keep)]
-    indexes = [
-        bin_index(
-            F.col(f"__{c}"), F.col("__ranges")[i]["lo"], F.col("__ranges")[i]["step"], bins
-        )
-        for i, c in enumerate(columns)
-    ]
-    return rows.select(*kept, F.array(*indexes).alias(alias))
+    """``keep`` and ``bins``, an array of the columns' bin indexes."""
+    values = df.select(*keep, *[clean_double(c).alias(f"__{c}") for c in columns])
+    kept = values.columns[: len(keep)]
+    return values.select(
+        *kept,
+        F.array(*[bin_by_edges(F.col(f"__{c}"), r) for c, r in zip(columns, ranges)]).alias(
+            "bins"
+        ),
+    )
 
 
-def bin_edges(ranges: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+def bin_edges(df: DataFrame, columns: Sequence[str], ranges: Sequence[Range]) -> DataFrame:
     """The bins themselves: (name, bin, lower, upper, middle)."""
-    per_column = ranges.select(F.posexplode("ranges").alias("i", "r"))
-    per_bin = per_column.select(
-        "i", "r", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
-    lower = F.when(F.col("bin") == 0, F.col("r.floor")).otherwise(
-        F.col("r.lo") + F.col("bin") * F.col("r.step")
-    )
-    upper = F.when(F.col("bin") == bins - 1, F.col("r.hi")).otherwise(
-        F.col("r.lo") + (F.col("bin") + 1) * F.col("r.step")
-    )
-    return per_bin.select(
-        pick(list(columns), "i").alias("name"),
-        "bin",
-        lower.alias("lower"),
-        upper.alias("upper"),
-        ((lower + upper) / 2.0).alias("middle"),
+    rows = [
+        (c, k, lower, upper, (lower + upper) / 2.0)
+        for c, r in zip(columns, ranges)
+        for k, lower, upper in r.edges()
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "name string, bin int, lower double, upper double, middle double"
     )
 
 
 def with_bins(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """The frame with a ``<column>_bin`` for each column."""
-    indexed = binned(df, columns, bins, keep=df.columns)
+    indexed = binned(df, columns, overview(df, columns, bins).ranges, keep=df.columns)
     return indexed.select(
         *df.columns, *[F.col("bins")[i].alias(f"{c}_bin") for i, c in enumerate(columns)]
     )

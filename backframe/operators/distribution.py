@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from backframe.functions.expressions import clean_double, pick
-from backframe.operators.bins import bin_index, column_ranges, with_bins
+from backframe.operators.bins import overview, with_bins, with_fine_bin
 
 MAX_SMALL_LEVELS = 1000
 
@@ -75,13 +75,13 @@ def _bucketed(
     df: DataFrame, columns: Sequence[str], keep: Sequence[Column], resolution: int
 ) -> DataFrame:
     """(…keep, i, v, bucket) for every value present."""
-    ranges = column_ranges(df, columns, resolution).scalar()
-    rows = _long(df.withColumn("__ranges", ranges), columns, [*keep, F.col("__ranges")])
-    r = F.get("__ranges", F.col("i"))
-    placed = rows.withColumn("__r", r)
-    return placed.withColumn(
-        "bucket", bin_index(F.col("v"), F.col("__r.lo"), F.col("__r.step"), resolution)
-    ).drop("__ranges", "__r")
+    ranges = overview(df, columns, resolution).ranges
+    table = F.array(*[F.struct(F.lit(r.lo).alias("lo"), F.lit(r.step).alias("step"))
+                      for r in ranges])
+    r = F.get(table, F.col("i"))
+    return with_fine_bin(
+        _long(df, columns, keep), "v", r["lo"], r["step"], resolution, "bucket"
+    )
 
 
 def class_kde(

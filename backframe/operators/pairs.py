@@ -15,15 +15,7 @@ from pyspark.sql import functions as F
 
 from backframe.functions.expressions import as_column, pick
 from backframe.operators.association import exploded_pairs
-from backframe.operators.bins import bin_edges, binned, column_ranges
-
-
-def _overall(df: DataFrame, response: str) -> tuple[Column, Column]:
-    """Mean response and number of rows, as one scalar subquery."""
-    facts = df.agg(
-        F.struct(F.avg(response).alias("mean"), F.count(F.lit(1)).alias("n")).alias("f")
-    ).scalar()
-    return facts["mean"], facts["n"]
+from backframe.operators.bins import Overview, bin_edges, binned, overview
 
 
 def _cell_sums(pairs: DataFrame) -> DataFrame:
@@ -36,9 +28,9 @@ def _cell_sums(pairs: DataFrame) -> DataFrame:
 
 def _crossed(df: DataFrame, left: str, right: str) -> DataFrame:
     return (
-        df.select(right, "y", F.posexplode(left).alias("i", "a"))
+        df.select(right, "y", F.posexplode_outer(left).alias("i", "a"))
         .where(F.col("a").isNotNull())
-        .select("y", "i", "a", F.posexplode(right).alias("j", "b"))
+        .select("y", "i", "a", F.posexplode_outer(right).alias("j", "b"))
         .where(F.col("b").isNotNull())
     )
 
@@ -60,19 +52,26 @@ def cells(
     category pairs with each number. Continuous columns are cut into bins, and a cell then
     shows the bin's number.
     """
-    mean, _ = _overall(df, response)
-    y = _response(response)
+    return _cells(df, response, continuous, categorical,
+                  overview(df, continuous, bins, response))
+
+
+def _cells(
+    df: DataFrame,
+    response: str,
+    continuous: Sequence[str],
+    categorical: Sequence[str],
+    facts: Overview,
+) -> DataFrame:
     labels = F.array(*[F.col(c).cast("string") for c in categorical]).alias("labels")
-    if continuous:
-        rows = binned(df, continuous, bins, keep=[y, labels] if categorical else [y])
-    else:
-        rows = df.select(y, labels)
+    rows = binned(df, continuous, facts.ranges, keep=[_response(response), labels])
     if continuous and categorical:
         pairs = _crossed(rows, "labels", "bins")
         left, right = categorical, continuous
     else:
         left = right = continuous or categorical
         pairs = exploded_pairs(rows, F.col("bins" if continuous else "labels"), keep=["y"])
+    mean = F.lit(facts.mean)
     n, s, ss = F.col("n"), F.col("s"), F.col("ss")
     distance = s / n - mean
     return _cell_sums(pairs).select(
@@ -101,12 +100,12 @@ def brute_force(
     over the observed cells. ``between``: the sum of the scores divided by the number of
     observed cells, and their mean weighted by the cells' sizes.
     """
-    table = cells(df, response, continuous, categorical, bins)
+    facts = overview(df, continuous, bins, response)
+    table = _cells(df, response, continuous, categorical, facts)
     if score == "within":
-        _, n_rows = _overall(df, response)
         return table.groupBy("x1", "x2").agg(
             F.avg("within").alias("mse"),
-            F.avg(F.col("within") * F.col("n") / n_rows).alias("wmse"),
+            F.avg(F.col("within") * F.col("n") / F.lit(facts.rows)).alias("wmse"),
         )
     if score == "between":
         return table.groupBy("x1", "x2").agg(
@@ -120,21 +119,20 @@ def binned_response(
     df: DataFrame, response: str, columns: Sequence[str], bins: int = 10
 ) -> DataFrame:
     """Every bin of every column, empty ones included: (name, bin, middle, n, mean, overall)."""
-    mean, _ = _overall(df, response)
-    ranges = column_ranges(df, columns, bins)
+    facts = overview(df, columns, bins, response)
     filled = (
-        binned(df, columns, bins, keep=[_response(response)])
-        .select("y", F.posexplode("bins").alias("i", "bin"))
+        binned(df, columns, facts.ranges, keep=[_response(response)])
+        .select("y", F.posexplode_outer("bins").alias("i", "bin"))
         .where(F.col("bin").isNotNull())
         .groupBy(pick(list(columns), "i").alias("name"), "bin")
         .agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("mean"))
     )
     return (
-        bin_edges(ranges, columns, bins)
+        bin_edges(df, columns, facts.ranges)
         .join(filled, ["name", "bin"], "left")
         .select(
             "name", "bin", "lower", "upper", "middle",
-            F.coalesce("n", F.lit(0)).alias("n"), "mean", mean.alias("overall"),
+            F.coalesce("n", F.lit(0)).alias("n"), "mean", F.lit(facts.mean).alias("overall"),
         )
     )
 

@@ -1,6 +1,11 @@
 """Whole queries composed from the operators."""
 
-from backframe.plans import analysis_queries, table_queries, trailing_queries  # noqa: F401
+from backframe.plans import (  # noqa: F401
+    analysis_queries,
+    model_queries,
+    table_queries,
+    trailing_queries,
+)
 from backframe.plans.registry import CHECK_SQL, QUERIES
 
 __all__ = ["CHECK_SQL", "QUERIES"]

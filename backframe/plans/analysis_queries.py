@@ -6,6 +6,7 @@ import itertools
 
 from pyspark.sql import functions as F
 
+from backframe.functions.expressions import pick
 from backframe.operators import association, bins, distribution, pairs
 from backframe.plans.registry import query
 from backframe.plans.tables import CATEGORICAL, CONTINUOUS, load, view_sql
@@ -122,13 +123,12 @@ BINNED = (
 )
 def equal_width_bins(spark, sf):
     sales = load(spark, sf, "sales")
-    edges = bins.bin_edges(bins.column_ranges(sales, CONTINUOUS, _BINS), CONTINUOUS, _BINS)
-    indexed = bins.with_bins(sales.select(*CONTINUOUS), CONTINUOUS, _BINS)
+    ranges = bins.overview(sales, CONTINUOUS, _BINS).ranges
+    edges = bins.bin_edges(sales, CONTINUOUS, ranges)
+    indexed = bins.binned(sales, CONTINUOUS, ranges)
     counted = (
-        indexed.select(
-            F.posexplode(F.array(*[f"{c}_bin" for c in CONTINUOUS])).alias("i", "bin")
-        )
-        .groupBy(bins.pick(CONTINUOUS, "i").alias("name"), "bin")
+        indexed.select(F.posexplode("bins").alias("i", "bin"))
+        .groupBy(pick(CONTINUOUS, "i").alias("name"), "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return counted.join(edges, ["name", "bin"]).select(
