@@ -42,26 +42,19 @@ def class_histogram(
 ) -> DataFrame:
     """(name, class, bin, start, n, density) with bins counted from each class's minimum.
 
-    Where the classes are few their minima travel as one small lookup; otherwise the values
-    meet them in a join.
+    The minima are broadcast where a check finds the classes to be few; otherwise the values
+    meet them in an ordinary join.
     """
     rows = _long(df, columns, [_class(by)]).where(F.col("class").isNotNull())
     starts = rows.groupBy("i", "class").agg(F.min("v").alias("lo"), F.count("v").alias("total"))
     if few_levels(df, by):
-        table = starts.groupBy("i").agg(
-            F.map_from_entries(F.collect_list(F.struct("class", "lo"))).alias("m")
-        ).agg(F.map_from_entries(F.collect_list(F.struct("i", "m"))).alias("t"))
-        lookup = F.map_values(table.scalar())
-        position = F.array_position(F.map_keys(table.scalar()), F.col("i")).cast("int")
-        placed = rows.withColumn(
-            "lo", F.element_at(F.element_at(lookup, position), F.col("class"))
-        )
-    else:
-        placed = rows.join(starts.select("i", "class", "lo"), ["i", "class"])
-    bins = placed.groupBy(
-        "i", "class", F.floor((F.col("v") - F.col("lo")) / width).alias("bin")
-    ).agg(F.count("v").alias("n"))
-    return bins.join(starts, ["i", "class"]).select(
+        starts = F.broadcast(starts)  # at most columns x levels rows
+    bins = (
+        rows.join(starts, ["i", "class"])
+        .groupBy("i", "class", F.floor((F.col("v") - F.col("lo")) / width).alias("bin"))
+        .agg(F.count("v").alias("n"), F.first("lo").alias("lo"), F.first("total").alias("total"))
+    )
+    return bins.select(
         pick(list(columns), "i").alias("name"),
         "class",
         "bin",

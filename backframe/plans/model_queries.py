@@ -8,9 +8,9 @@ from backframe.operators import models, neighbours, prepare, regression, selecti
 from backframe.plans import games
 from backframe.plans.analysis_queries import SALES, rounded
 from backframe.plans.registry import query
-from backframe.plans.table_queries import assembled_games
+from backframe.plans.table_queries import stored_games
 from backframe.plans.tables import CONTINUOUS, load
-from backframe.session import scratch_path
+from backframe.session import stored
 
 RESPONSE = "returned"
 
@@ -81,13 +81,11 @@ def standardize(spark, sf):
 def _split_games(spark, sf):
     """Feature rows of games, cut in time order.
 
-    The feature table is written once: a model goes over its rows many times, and a stored
-    table spares it the joins behind them.
+    A model goes over the rows many times; a stored table spares it the joins behind them.
     """
-    path = scratch_path(spark, "features")
-    rows = games.pair_features(assembled_games(spark, sf), clean=True)
-    rows.na.fill(0.0).na.fill(0).write.parquet(path)
-    return split.ordered_split(spark.read.parquet(path), "local_date", "game_id")
+    features = games.pair_features(stored_games(spark, sf), clean=True)
+    filled = stored(features.na.fill(0.0).na.fill(0), "features")
+    return split.ordered_split(filled, "local_date", "game_id")
 
 
 def _predictors(df):

@@ -109,13 +109,22 @@ CATEGORICAL = ["returnflag", "linestatus", "orderpriority", "brand"]
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a derived view as a DataFrame."""
-    if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    text = VIEWS[name]
-    inputs = {n: load(spark, sf_dir, n) for n in dict.fromkeys(_PLACEHOLDER.findall(text))}
-    return spark.sql(text, **inputs)
+    """A given table or a derived view as a DataFrame; only the plan is kept, no data."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FRAMES:
+        if name in TABLES:
+            _FRAMES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            text = VIEWS[name]
+            inputs = {
+                n: load(spark, sf_dir, n) for n in dict.fromkeys(_PLACEHOLDER.findall(text))
+            }
+            _FRAMES[key] = spark.sql(text, **inputs)
+    return _FRAMES[key]
 
 
 def view_sql(*names: str) -> str:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from backframe.functions.expressions import whole_number
 from backframe.operators import split, streaks, trailing
+from backframe.operators.prepare import replace_where_like
 from backframe.plans import games
 from backframe.plans.registry import query
-from backframe.plans.table_queries import GAME_ROW_CTES, _batter_games, assembled_games
+from backframe.plans.table_queries import GAME_ROW_CTES, _batter_games, stored_games
 from backframe.plans.tables import load, view_sql
+from backframe.session import stored
 
 
 def _finished_orders(spark, sf):
@@ -59,7 +62,7 @@ def rolling_ratio_100d(spark, sf):
     GROUP BY 1, 2, 3""",
 )
 def rolling_batting_average(spark, sf):
-    out = games.rolling_average(_batter_games(spark, sf))
+    out = games.rolling_average(stored(_batter_games(spark, sf), "batter_games"))
     return out.withColumn("rolling_batting", F.round("rolling_batting", 6))
 
 
@@ -169,7 +172,7 @@ def rolling_global_100d(spark, sf):
           for n in ("team_results", "batter_counts", "pitcher_counts", "game_temp")],
         team=_TEAM,
     )
-    return _rounded(games.team_features(own))
+    return _rounded(games.team_features(stored(own, "team_games")))
 
 
 def _rounded(df, digits=6):
@@ -259,7 +262,7 @@ PAIR_FEATURES_SQL = (
 
 @query("rolling_pair_features", PAIR_FEATURES_SQL + "SELECT * FROM pair_features")
 def rolling_pair_features(spark, sf):
-    return _rounded(games.pair_features(assembled_games(spark, sf)))
+    return _rounded(games.pair_features(stored_games(spark, sf)))
 
 
 _DIFFS = ["batting_avg", "bb", "iso", "finalscore", "p_ip"]
@@ -274,7 +277,7 @@ _DIFFS = ["batting_avg", "bb", "iso", "finalscore", "p_ip"]
 )
 def diff_features(spark, sf):
     features = games.difference_features(
-        _rounded(games.pair_features(assembled_games(spark, sf)))
+        _rounded(games.pair_features(stored_games(spark, sf)))
     )
     return _rounded(features.select("game_id", *[f"diff_{n}" for n in _DIFFS]))
 
@@ -292,9 +295,6 @@ def diff_features(spark, sf):
     GROUP BY 1, 2, 3""",
 )
 def rolling_mean_10d(spark, sf):
-    from backframe.functions.expressions import whole_number
-    from backframe.operators.prepare import replace_where_like
-
     temps = replace_where_like(load(spark, sf, "boxscore"), "temp", "%degrees", "degrees")
     dated = load(spark, sf, "games").join(temps, "game_id")
     out = trailing.trailing_mean(
