@@ -88,24 +88,28 @@ def correlation_ratio(
         .groupBy("i", "j", "level")
         .agg(
             F.count("v").alias("n"),
-            F.sum("v").alias("s"),
-            F.sum(F.col("v") * F.col("v")).alias("ss"),
+            F.avg("v").alias("m"),
+            (F.var_pop("v") * F.count("v")).alias("q"),
         )
     )
     known = F.col("level").isNotNull()
-    sums = per_level.groupBy("i", "j").agg(
-        F.sum(F.when(known, F.col("n"))).alias("n"),
-        F.sum(F.when(known, F.col("s"))).alias("s"),
-        F.sum(F.when(known, F.col("s") * F.col("s") / F.col("n"))).alias("between"),
-        F.sum("n").alias("n_all"),
-        F.sum("s").alias("s_all"),
-        F.sum("ss").alias("ss_all"),
+    centres = per_level.where(known).groupBy("i", "j").agg(
+        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("c")
     )
-    mean = F.try_divide(F.col("s"), F.col("n"))
-    explained = F.greatest(F.col("between") - F.col("s") * mean, F.lit(0.0))
-    spread = F.col("ss_all") - 2 * mean * F.col("s_all") + F.col("n_all") * mean * mean
-    eta = F.when(explained == 0.0, F.lit(0.0)).otherwise(
-        F.sqrt(F.least(F.try_divide(explained, spread), F.lit(1.0)))
+    off = F.col("n") * (F.col("m") - F.col("c")) * (F.col("m") - F.col("c"))
+    sums = (
+        per_level.join(centres, ["i", "j"])
+        .groupBy("i", "j")
+        .agg(
+            F.sum(F.when(known, off)).alias("explained"),
+            F.sum(F.col("q") + off).alias("spread"),
+            F.sum(F.col("n") * F.col("c") * F.col("c")).alias("size"),
+        )
+    )
+    # A spread as small as rounding leaves it in a constant column is none.
+    none = (F.col("explained") == 0.0) | (F.col("spread") <= 1e-24 * F.col("size"))
+    eta = F.when(none, F.lit(0.0)).otherwise(
+        F.sqrt(F.least(F.try_divide(F.col("explained"), F.col("spread")), F.lit(1.0)))
     )
     return sums.select(
         pick(list(categorical), "i").alias("x1"),

@@ -95,7 +95,7 @@ def class_kde(
         .groupBy("i", "class", "bucket")
         .agg(
             F.count("v").alias("n"),
-            F.avg("v").alias("x"),
+            F.when(F.min("v") == F.max("v"), F.min("v")).otherwise(F.avg("v")).alias("x"),
             F.min("v").alias("lo"),
             F.max("v").alias("hi"),
             F.sum("v").alias("s"),
@@ -301,10 +301,15 @@ def lowess_trend(
         _bucketed(levelled, columns, [F.col("y"), F.col("y_bin")], resolution)
         .where(F.col("y").isNotNull())
         .groupBy("i", "bucket", "y_bin")
-        .agg(F.count("v").alias("n"), F.sum("v").alias("sx"), F.avg("y").alias("y"))
+        .agg(
+            F.count("v").alias("n"), F.sum("v").alias("sx"), F.avg("y").alias("y"),
+            F.min("v").alias("lo"), F.max("v").alias("hi"),
+        )
     )
     same_x = Window.partitionBy("i", "bucket")
-    points = points.withColumn("x", F.sum("sx").over(same_x) / F.sum("n").over(same_x))
+    lo, hi = F.min("lo").over(same_x), F.max("hi").over(same_x)
+    mean_x = F.sum("sx").over(same_x) / F.sum("n").over(same_x)
+    points = points.withColumn("x", F.when(lo == hi, lo).otherwise(mean_x))
 
     def curve(group: pd.DataFrame) -> pd.DataFrame:
         at, fit = _lowess_curve(

@@ -53,18 +53,21 @@ def nearest_neighbours(
     vector: str,
     label: str,
     k: int = 7,
-    pivots: int = 32,
+    pivots: int | None = None,
     block: int = 1024,
 ) -> DataFrame:
     """(query, neighbour, label, distance, rank): the k nearest training rows of each query.
 
-    ``key`` identifies rows in both frames and breaks ties; the smaller key is the nearer.
+    By default there are about as many pivots as blocks of queries, 512 at most. ``key``
+    identifies rows in both frames and breaks ties; the smaller key is the nearer.
     """
     numbers = F.col(vector).cast("array<double>").alias("vector")
     known = train.select(F.col(key).cast("long").alias("id"), numbers,
                          F.col(label).cast("int").alias("label"))
     asked = queries.select(F.col(key).cast("long").alias("id"), numbers)
 
+    if pivots is None:
+        pivots = min(512, max(1, math.ceil(asked.count() / block)))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vector").collect()
     if not chosen:
         raise ValueError("no training rows")
@@ -164,7 +167,7 @@ def knn_classify(
     vector: str,
     label: str,
     k: int = 7,
-    **options: int,
+    **options: int | None,
 ) -> DataFrame:
     """(key, prediction): the most frequent label of the k nearest; ties go to the smallest."""
     votes = (

@@ -21,16 +21,16 @@ from backframe.operators.bins import Overview, bin_edges, binned, overview
 def _cell_sums(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("i", "j", "a", "b").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("y").alias("s"),
-        F.sum(F.col("y") * F.col("y")).alias("ss"),
+        F.sum("d").alias("s"),
+        F.sum(F.col("d") * F.col("d")).alias("ss"),
     )
 
 
 def _crossed(df: DataFrame, left: str, right: str) -> DataFrame:
     return (
-        df.select(right, "y", F.posexplode_outer(left).alias("i", "a"))
+        df.select(right, "d", F.posexplode_outer(left).alias("i", "a"))
         .where(F.col("a").isNotNull())
-        .select("y", "i", "a", F.posexplode_outer(right).alias("j", "b"))
+        .select("d", "i", "a", F.posexplode_outer(right).alias("j", "b"))
         .where(F.col("b").isNotNull())
     )
 
@@ -64,25 +64,26 @@ def _cells(
     facts: Overview,
 ) -> DataFrame:
     labels = F.array(*[F.col(c).cast("string") for c in categorical]).alias("labels")
-    rows = binned(df, continuous, facts.ranges, keep=[_response(response), labels])
+    # Distances from the mean are summed, not raw responses: no large numbers cancel out.
+    mean = F.lit(facts.mean)
+    distance = (as_column(response).cast("double") - mean).alias("d")
+    rows = binned(df, continuous, facts.ranges, keep=[distance, labels])
     if continuous and categorical:
         pairs = _crossed(rows, "labels", "bins")
         left, right = categorical, continuous
     else:
         left = right = continuous or categorical
-        pairs = exploded_pairs(rows, F.col("bins" if continuous else "labels"), keep=["y"])
-    mean = F.lit(facts.mean)
+        pairs = exploded_pairs(rows, F.col("bins" if continuous else "labels"), keep=["d"])
     n, s, ss = F.col("n"), F.col("s"), F.col("ss")
-    distance = s / n - mean
     return _cell_sums(pairs).select(
         pick(list(left), "i").alias("x1"),
         pick(list(right), "j").alias("x2"),
         F.col("a").alias("cell1"),
         F.col("b").alias("cell2"),
         "n",
-        (s / n).alias("mean"),
-        ((ss - 2 * mean * s + n * mean * mean) / n).alias("within"),
-        (distance * distance).alias("between"),
+        (mean + s / n).alias("mean"),
+        (ss / n).alias("within"),
+        ((s / n) * (s / n)).alias("between"),
     )
 
 

@@ -328,6 +328,39 @@ def lowess_trend(spark, sf):
     )
 
 
+_STEPPED = ["quantity", "discount", "tax", "part_size"]
+
+
+@query(
+    "lowess_trend_plain",
+    SALES
+    + "".join(
+        f", p_{c} AS (SELECT {c} AS x, count(*) AS n, avg({RESPONSE}) AS y FROM sales GROUP BY 1)"
+        for c in _STEPPED
+    )
+    + _union(
+        f"""SELECT '{c}' AS name, x0 AS x, round(my + CASE WHEN sxx > 0 THEN
+                   (x0 - mx) * sxy / sxx ELSE 0 END, 6) AS fit
+            FROM (SELECT x0, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my,
+                         sum(w * x * x) - sum(w * x) * sum(w * x) / sum(w) AS sxx,
+                         sum(w * x * y) - sum(w * x) * sum(w * y) / sum(w) AS sxy
+                  FROM (SELECT x0, x, y, n * pow(greatest(1 - pow(d / h, 3), 0), 3) AS w
+                        FROM (SELECT *, min(CASE WHEN upto >= floor(total * 2.0 / 3) THEN d END)
+                                        OVER (PARTITION BY x0) AS h
+                              FROM (SELECT *, sum(n) OVER (PARTITION BY x0 ORDER BY d) AS upto
+                                    FROM (SELECT a.x AS x0, b.x, b.n, b.y, abs(a.x - b.x) AS d,
+                                                 (SELECT count(*) FROM sales) AS total
+                                          FROM p_{c} a CROSS JOIN p_{c} b))))
+                  GROUP BY x0)"""
+        for c in _STEPPED
+    ),
+)
+def lowess_trend_plain(spark, sf):
+    """Columns of few values and no reweighting, which SQL can follow."""
+    curves = distribution.lowess_trend(load(spark, sf, "sales"), _STEPPED, RESPONSE, rounds=0)
+    return curves.withColumn("fit", F.round("fit", 6))
+
+
 _FRACTIONS = {"1-URGENT": 0.2, "2-HIGH": 0.1, "3-MEDIUM": 0.05}
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -365,6 +367,21 @@ def rolling_average(lines: DataFrame, days: int = 100, unit: str = "date") -> Da
     )
 
 
+def feature_table(
+    read: Callable[[str], DataFrame], keep: Callable[[DataFrame, str], DataFrame],
+    days: int = 7, clean: bool = False,
+) -> DataFrame:
+    """From raw tables to the feature row of every game.
+
+    ``read`` gives a table by name, from a database or a folder. ``keep`` writes the assembled
+    games and returns the stored table, which the window then reads twice.
+    """
+    names = ["team_results", "batter_counts", "pitcher_counts", "game_temp", "inning_action",
+             "team_streak", "team_batting_counts", "boxscore"]
+    rows = keep(game_rows(**{n: read(n) for n in names}), "game_rows")
+    return pair_features(rows, days, clean=clean)
+
+
 def difference_features(df: DataFrame, first: str = "h_", second: str = "a_") -> DataFrame:
     """Add ``diff_x = first_x - second_x`` for every numeric pair of columns."""
     numeric = {n for n, t in df.dtypes if t in ("int", "bigint", "double", "float")}

@@ -22,6 +22,52 @@ def logit_univariate(spark, sf):
     )
 
 
+def _newton_sql(names, rounds: int = 9) -> str:
+    """Newton steps for all predictors at once, one step per common table."""
+    points = " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {c} AS x, CAST({RESPONSE} AS DOUBLE) AS y, count(*) AS n "
+        f"FROM sales GROUP BY 2, 3"
+        for c in names
+    )
+    steps = [
+        f""", pts AS MATERIALIZED ({points}),
+        shape AS MATERIALIZED (SELECT name, sum(n * x) / sum(n) AS m,
+            sqrt(sum(n * x * x) / sum(n) - pow(sum(n * x) / sum(n), 2)) AS s, sum(n) AS n
+            FROM pts GROUP BY name),
+        z AS MATERIALIZED (SELECT p.name, (x - m) / s AS z, y, p.n FROM pts p
+            JOIN shape USING (name)),
+        s0 AS (SELECT name, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b FROM shape)"""
+    ]
+    sums = """SELECT name, any_value(a) AS a, any_value(b) AS b, sum(n * w) AS w,
+            sum(n * w * z) AS wz, sum(n * w * z * z) AS wzz, sum(n * (y - p)) AS g,
+            sum(n * (y - p) * z) AS gz
+            FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-a - b * z)) AS p
+                  FROM z JOIN {step} USING (name))) GROUP BY name"""
+    for k in range(rounds):
+        steps.append(
+            f"""s{k + 1} AS MATERIALIZED (SELECT name,
+            a + (wzz * g - wz * gz) / (w * wzz - wz * wz) AS a,
+            b + (w * gz - wz * g) / (w * wzz - wz * wz) AS b
+            FROM ({sums.format(step=f's{k}')}))"""
+        )
+    return (
+        SALES
+        + ", ".join(steps)
+        + f""" SELECT name, round(b / s, 6) AS coefficient,
+        round(b / sqrt(w / (w * wzz - wz * wz)), 5) AS z_value, CAST(shape.n AS BIGINT) AS n
+        FROM ({sums.format(step=f's{rounds}')}) JOIN shape USING (name)"""
+    )
+
+
+@query("logit_z_values", _newton_sql(CONTINUOUS))
+def logit_z_values(spark, sf):
+    fits = regression.logit_univariate(load(spark, sf, "sales"), CONTINUOUS, RESPONSE)
+    return fits.select(
+        "name", F.round("coefficient", 6).alias("coefficient"),
+        F.round("z_value", 5).alias("z_value"), "n",
+    )
+
+
 @query("rf_importance")
 def rf_importance(spark, sf):
     return models.forest_importance(load(spark, sf, "sales"), CONTINUOUS, RESPONSE, trees=10)
