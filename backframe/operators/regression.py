@@ -35,18 +35,22 @@ def logit_univariate(
     response: str,
     max_iterations: int = 35,
     tolerance: float = 1e-10,
+    cache: bool = True,
 ) -> DataFrame:
     """(name, coefficient, z_value, p_value, n) of each predictor; the response is 0/1.
 
     A predictor that separates the response, or has no spread, has no finite estimate and
     gets NULL statistics. Rows lacking the response or the predictor's value are left out.
+    The fit takes some eight passes; ``cache=False`` reads the input anew in each, for a stored
+    table whose columns would not fit the executors' memory and disks.
     """
     spark = df.sparkSession
     narrow = df.select(
         F.col(response).cast("double").alias("__y"),
         *[clean_double(c).alias(f"__x{i}") for i, c in enumerate(columns)],
     ).where(F.col("__y").isNotNull())
-    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    if cache:
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         moments = narrow.agg(
             *[F.avg(f"__x{i}").alias(f"m{i}") for i in range(len(columns))],
@@ -104,7 +108,8 @@ def logit_univariate(
                 b[i] += step[1]
         failed |= open_fits
     finally:
-        narrow.unpersist()
+        if cache:
+            narrow.unpersist()
     rows = []
     for position, name in enumerate(columns):
         i = usable.index(position) if position in usable else None
