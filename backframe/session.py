@@ -23,18 +23,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where the setting is absent, as in local tests.
+    Only a local session, whose executors share the machine, may go without the setting; it
+    gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="backframe-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="backframe-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -5,9 +5,11 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from backframe import session
 from backframe.functions.expressions import ratio, threshold_flag, whole_number
 from backframe.operators import prepare, relational
 from backframe.plans import games
+from backframe.session import shared_folder
 from backframe.sources import catalog, datasets, readers
 from backframe.sources.report import report, write_report
 from tests.conftest import as_dicts
@@ -184,3 +186,14 @@ def test_report_files(spark, tmp_path):
     files = list((tmp_path / "report" / "section=scores").glob("*.json"))
     lines = [json.loads(line) for f in files for line in f.read_text().splitlines()]
     assert {r["item"]: r["rank"] for r in lines} == {"b": 1, "a": 2}
+
+
+def test_stored_frames_are_files_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, "a")], "n int, s string")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_folder(spark) == shared_folder(spark)
+    assert named in (None, shared_folder(spark))
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    kept = session.stored(df, "kept")
+    assert kept.collect() == df.collect()
+    assert all(str(tmp_path) in f for f in kept.inputFiles())
