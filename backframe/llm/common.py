@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +55,11 @@ def whole_partition(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
     return pd.concat(parts, ignore_index=True) if parts else None
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def settled(frame: DataFrame, name: str, *fields: Column) -> DataFrame:
     """The frame with a struct of costly fields that is worked out once per row.
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from backframe.llm.common import WORD_GAP, settled, words_of
+from backframe.llm.common import WORD_GAP, let, settled, words_of
 
 #: Marks that end a sentence, closing quotes and brackets after them allowed.
 SENTENCE_END = r"""[.!?:;…。！？]["'”’»)\]]*\s*$"""
@@ -41,14 +41,14 @@ class LineRules:
 
     A line without a sentence end fails if it has fewer words than ``open_line_words``; a line
     whose share of words that are or carry menu marks, or end in odd punctuation, reaches a bound
-    fails; a line of page furniture fails if it is short. A document fails that loses more than
+    fails; a line of page furniture fails if it is shorter than ``boilerplate_chars``. A document fails that loses more than
     ``most_lost`` of its word characters.
     """
 
     open_line_words: int = 8
     menu_share: float = 0.2
     odd_share: float = 0.3
-    boilerplate_words: int = 40
+    boilerplate_chars: int = 250
     most_lost: float = 0.4
     least_words: int = 20
     most_repeat_percent: int = 30
@@ -64,11 +64,12 @@ def line_failure(line: Column, rules: LineRules) -> Column:
     menu = matches(line, rf"(^|[\x20\x09-\x0D]){MENU_MARK}+(?=[\x20\x09-\x0D]|$)")
     odd = matches(line, r"([#*$%&~^_=+]{2,}|!!+|\?\?+)(?=[\x20\x09-\x0D]|$)")
     furniture = F.lower(line).rlike("|".join(BOILERPLATE))
+    # A cheap test stands before each dear one.
     return (
-        F.when(menu >= rules.menu_share * words, F.lit("navigation"))
-        .when(odd >= rules.odd_share * words, F.lit("punctuation"))
+        F.when(line.rlike(MENU_MARK) & (menu >= rules.menu_share * words), F.lit("navigation"))
+        .when(line.rlike(r"[#*$%&~^_=+!?]{2}") & (odd >= rules.odd_share * words), F.lit("punctuation"))
         .when(~line.rlike(SENTENCE_END) & (words < rules.open_line_words), F.lit("punctuation"))
-        .when(furniture & (words < rules.boilerplate_words), F.lit("boilerplate"))
+        .when((F.length(line) < rules.boilerplate_chars) & furniture, F.lit("boilerplate"))
     )
 
 
@@ -83,8 +84,15 @@ def repeated_words(words: Column) -> Column:
     n = F.size(words)
     at = lambda i, k: F.get(words, i + k)
     starts = F.sequence(F.lit(0), n - WINDOW)
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[at(i, k) for k in range(WINDOW)]))
-    some = F.size(F.array_distinct(hashes)) < n - (WINDOW - 1)
+
+    def doubled(hashes: Column, span: int) -> Column:
+        """Hashes of twice as many words from hashes of ``span`` words."""
+        return let(hashes, lambda h: F.zip_with(h, F.slice(h, span + 1, n), lambda x, y: F.xxhash64(x, y)))
+
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    for span in (1, 2, 4):
+        hashes = doubled(hashes, span)
+    some = F.size(F.array_distinct(F.slice(hashes, 1, n - (WINDOW - 1)))) < n - (WINDOW - 1)
     ordered = F.array_sort(
         F.transform(
             starts,
@@ -94,8 +102,8 @@ def repeated_words(words: Column) -> Column:
             ),
         )
     )
-    neighbours = F.transform(
-        F.array(ordered),  # a lambda's variable holds the array, so that it is sorted once
+    neighbours = let(
+        ordered,
         lambda own: F.transform(
             starts,
             lambda j: F.when(
@@ -106,7 +114,7 @@ def repeated_words(words: Column) -> Column:
         ),
     )
     covered = F.aggregate(
-        F.array_sort(F.array_compact(F.flatten(neighbours))),
+        F.array_sort(F.array_compact(neighbours)),
         F.struct(F.lit(0).alias("words"), F.lit(0).alias("end")),
         lambda a, s: F.struct(
             (a["words"] + s + WINDOW - F.greatest(s, a["end"])).alias("words"),

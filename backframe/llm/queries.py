@@ -14,6 +14,7 @@ from backframe.llm.decontaminate import decontaminate
 from backframe.llm.packing import pack
 from backframe.llm.quality import judge
 from backframe.llm.sharding import shard_documents
+from backframe.llm.simhash import near_duplicates
 from backframe.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +63,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
