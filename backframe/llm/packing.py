@@ -19,7 +19,7 @@ CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Texts that a worker encodes at once.
-AT_ONCE = 64
+AT_ONCE = 128
 #: Pieces of one length that one task numbers.
 RANK_ROWS = 500_000
 

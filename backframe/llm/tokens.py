@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Words that a worker remembers before it forgets them all.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: New words that the library encodes as one line.
+AT_ONCE = 8192
+#: Words of small letters of ASCII and Latin-1, as UTF-8.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z")
+#: A-Z to lower case, all other bytes as they are.
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def tokenizer_path(name: str) -> str:
@@ -22,28 +32,82 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 class WordEncoder:
-    """Ids of texts for a tokenizer that never joins across ASCII white space.
+    """Ids of texts for a tokenizer that drops white space, splits at it and ignores case.
 
-    It holds for tokenizers that drop white space and split at it. The text is cut there; each
-    distinct word is encoded by the library once and remembered as little-endian 32-bit ids.
+    The text is cut at ASCII white space; each distinct word is encoded by the library once and
+    remembered as little-endian 32-bit ids. Words of plain small letters, which the normalizer
+    leaves alone and the pre-tokenizer keeps whole, go to the library in lines past those two
+    steps; their ids are told apart by the word-end mark. A point or comma behind such a word is
+    a token of its own. Any other word is encoded as it stands.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        suffix = settings["model"]["end_of_word_suffix"]
+        settings |= {
+            "normalizer": None,
+            "added_tokens": [],
+            "pre_tokenizer": {
+                "type": "Sequence",
+                "pretokenizers": [
+                    {"type": "WhitespaceSplit"},
+                    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+                ],
+            },
+        }
+        self.plain = Tokenizer.from_str(json.dumps(settings))
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.marks = {m: self.alone([m])[0] for m in (b".", b",")}
+
+    def alone(self, words: list[bytes]) -> list[bytes]:
+        texts = [w.decode("utf-8") for w in words]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def learn(self, words: Iterable[bytes]) -> None:
+        known, marks = self.known, self.marks
+        plain, marked, other = set(), [], []
+        for w in words:
+            stem = w[:-1] if w[-1:] in marks else w
+            if PLAIN.match(stem):
+                if stem is not w:
+                    marked.append((w, stem))
+                if stem not in known:
+                    plain.add(stem)
+            else:
+                other.append(w)
+        ordered = list(plain)
+        for i in range(0, len(ordered), AT_ONCE):
+            some = ordered[i : i + AT_ONCE]
+            line = b" ".join(some).decode("utf-8")
+            ids = np.array(self.plain.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
+            packed = ids.tobytes()
+            known.update((w, packed[a:b]) for w, a, b in zip(some, cuts, cuts[1:], strict=True))
+        known.update((w, known[stem] + marks[w[-1:]]) for w, stem in marked)
+        known.update(zip(other, self.alone(other), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode("utf-8").split() for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        missing = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(missing), 4096):
-            some = missing[i : i + 4096]
-            for w, e in zip(
-                some,
-                self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False),
-                strict=True,
-            ):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+        if len(self.known) > REMEMBERED:  # the words met first are the frequent ones
+            self.known = dict(islice(self.known.items(), REMEMBERED // 4))
+        split = []
+        for t in texts:
+            raw = t.encode("utf-8")
+            # Special strings are told apart by case, so a text that may hold one keeps its own.
+            split.append((raw if b"<|" in raw else raw.translate(LOWER)).split())
+        found = [list(map(self.known.get, words)) for words in split]
+        missing = {w for words, ids in zip(split, found, strict=True) if None in ids
+                   for w, i in zip(words, ids, strict=True) if i is None}
+        if missing:
+            self.learn(missing)
+            known = self.known
+            found = [
+                [known[w] if i is None else i for w, i in zip(words, ids, strict=True)] if None in ids else ids
+                for words, ids in zip(split, found, strict=True)
+            ]
+        return [b"".join(ids) for ids in found]

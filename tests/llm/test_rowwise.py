@@ -18,7 +18,7 @@ from backframe.llm.decontaminate import decontaminate
 from backframe.llm.packing import pack
 from backframe.llm.quality import clean, judge
 from backframe.llm.sharding import shard_documents
-from backframe.llm.tokens import tokenizer_path
+from backframe.llm.tokens import tokenizer_path, word_encoder
 from tests.llm.cases import TEXTS, clashing, documents, rows_of
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -235,6 +235,27 @@ def test_patterns_hold_every_piece(histogram):
     assert packs <= 2 * tokens / 50 + 1
 
 
+@settings(max_examples=500, deadline=None)
+@given(
+    st.lists(
+        st.one_of(
+            st.text(max_size=30),
+            st.sampled_from(["<|endoftext|>", "<|ENDOFTEXT|>", "It's", "e\u0301", "\u0130", "\u03a3\u03c3", "\x85", "a\x1cb", "\ufb01", " \n"]),
+        ),
+        max_size=8,
+    ).map("".join)
+)
+def test_word_encoder_encodes_as_the_library(text):
+    path = tokenizer_path("word_bpe_49k.json")
+    if "tokenizer" not in _KEPT:
+        _KEPT["tokenizer"] = Tokenizer.from_file(path)
+    want = np.array(_KEPT["tokenizer"].encode(text, add_special_tokens=False).ids, "<u4")
+    assert word_encoder(path).encode([text, text])[1] == want.tobytes()
+
+
+_KEPT = {}
+
+
 @pytest.mark.parametrize("chunk", [5, 1 << 16])
 def test_token_counts(spark, chunk, sf_dir):
     library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
