@@ -88,7 +88,7 @@ class WordEncoder:
             ids = np.array(self.plain.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
             cuts = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
             packed = ids.tobytes()
-            known.update((w, packed[a:b]) for w, a, b in zip(some, cuts, cuts[1:], strict=True))
+            known.update((w, packed[a:b]) for w, a, b in zip(some, cuts[:-1], cuts[1:], strict=True))
         known.update((w, known[stem] + marks[w[-1:]]) for w, stem in marked)
         known.update(zip(other, self.alone(other), strict=True))
 
