@@ -7,11 +7,11 @@ from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from backframe.llm.common import python_ready, texts_of
+from backframe.llm.common import python_ready
 from backframe.llm.tokens import tokenizer_path, word_encoder
 from backframe.session import stored
 
@@ -19,7 +19,7 @@ CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Texts that a worker encodes at once.
-AT_ONCE = 128
+AT_ONCE = 2000
 #: Pieces of one length that one task numbers.
 RANK_ROWS = 500_000
 
@@ -90,23 +90,28 @@ def slots(patterns: dict[Pattern, int]) -> list[tuple[int, int, int, int, int]]:
 def pieces(docs: DataFrame, key: str, text: str, capacity: int, path: str) -> DataFrame:
     """(key, start, length, ids_crc32, doc_tokens) of every piece of at most ``capacity`` ids."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
+        end = END_ID.to_bytes(4, "little")
         for batch in batches:
             for i in range(0, len(batch), AT_ONCE):
-                some = batch.iloc[i : i + AT_ONCE]
+                some = batch.slice(i, AT_ONCE)
+                buffer, edges = encoder.encode(some.column(1))
                 rows = []
-                for name, ids in zip(some["name"], encoder.encode(texts_of(some, "body")), strict=True):
-                    ids += END_ID.to_bytes(4, "little")
+                for name, a, b in zip(some.column(0).to_pylist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    ids = bytes(buffer[a:b]) + end
                     n = len(ids) // 4
                     for start in range(0, n, capacity):
                         own = ids[4 * start : 4 * (start + capacity)]
                         rows.append((name, start, len(own) // 4, zlib.crc32(own), n))
-                yield pd.DataFrame(rows, columns=["name", "start", "length", "ids_crc32", "doc_tokens"])
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    names = ["name", "start", "length", "ids_crc32", "doc_tokens"]
+    kinds = [pa.string(), *[pa.int64()] * 4]
     # The key travels as text, which keeps nulls and all digits.
     own = docs.select(F.col(f"`{key}`").cast("string").alias("name"), F.col(f"`{text}`").alias("body"))
-    found = own.mapInPandas(cut, "name string, start long, length long, ids_crc32 long, doc_tokens long")
+    found = own.mapInArrow(cut, "name string, start long, length long, ids_crc32 long, doc_tokens long")
     kind = docs.schema[key].dataType
     return found.select(F.col("name").cast(kind).alias(key), "start", "length", "ids_crc32", "doc_tokens")
 

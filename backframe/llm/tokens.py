@@ -10,6 +10,8 @@ from itertools import islice
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Words that a worker remembers before it forgets them all.
@@ -43,7 +45,7 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
         suffix = settings["model"]["end_of_word_suffix"]
@@ -92,22 +94,24 @@ class WordEncoder:
         known.update((w, known[stem] + marks[w[-1:]]) for w, stem in marked)
         known.update(zip(other, self.alone(other), strict=True))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> tuple[memoryview, np.ndarray]:
+        """Ids of all texts one after the other, and where in bytes each text's begin and end.
+
+        Nulls are empty. The words of a batch are numbered by Arrow, so that only the distinct
+        ones are looked up here.
+        """
         if len(self.known) > REMEMBERED:  # the words met first are the frequent ones
             self.known = dict(islice(self.known.items(), REMEMBERED // 4))
-        split = []
-        for t in texts:
-            raw = t.encode("utf-8")
-            # Special strings are told apart by case, so a text that may hold one keeps its own.
-            split.append((raw if b"<|" in raw else raw.translate(LOWER)).split())
-        found = [list(map(self.known.get, words)) for words in split]
-        missing = {w for words, ids in zip(split, found, strict=True) if None in ids
-                   for w, i in zip(words, ids, strict=True) if i is None}
-        if missing:
-            self.learn(missing)
-            known = self.known
-            found = [
-                [known[w] if i is None else i for w, i in zip(words, ids, strict=True)] if None in ids else ids
-                for words, ids in zip(split, found, strict=True)
-            ]
-        return [b"".join(ids) for ids in found]
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        # Special strings are told apart by case, so a text that may hold one keeps its own.
+        folded = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        words = pc.ascii_split_whitespace(folded)
+        numbered = words.flatten().dictionary_encode()
+        distinct = numbered.dictionary.cast(pa.binary()).to_pylist()
+        known = self.known
+        self.learn([w for w in distinct if w not in known])
+        ids = pa.array([known[w] for w in distinct], pa.binary()).take(numbered.indices)
+        if not len(ids):
+            return memoryview(b""), np.zeros(len(texts) + 1, np.int64)
+        offsets = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+        return memoryview(ids.buffers()[2] or b""), offsets[words.offsets.to_numpy()].astype(np.int64)
