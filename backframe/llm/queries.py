@@ -12,6 +12,7 @@ from backframe.llm import chat
 from backframe.llm.common import table
 from backframe.llm.decontaminate import decontaminate
 from backframe.llm.packing import pack
+from backframe.llm.pii import replace_entities
 from backframe.llm.quality import judge
 from backframe.llm.sharding import shard_documents
 from backframe.llm.simhash import near_duplicates
@@ -45,6 +46,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def chat_digest(turns: list[tuple[str, str]], loss: str, shown: str) -> tuple:
     sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
     told = "".join(f"{role}\n{text}\n" for role, text in turns)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from backframe.llm.common import fresh_name, python_ready, whole_partition
@@ -221,3 +221,29 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+) -> DataFrame:
+    """Of each group of near-duplicates the row with the least key, in all its columns.
+
+    A row without key gets one from its text, behind all others. Of rows that repeat a key, one
+    stays. The join that picks the rows has a key per row, so no group meets in a task.
+    """
+    row = fresh_name(docs, "row_key")
+    number = fresh_name(docs, "row_number")
+    substitute = F.lit(1 << 62) + F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(1 << 61))
+    keyed = docs.withColumn(row, F.coalesce(F.col(f"`{key}`").cast("long"), substitute))
+    first = (
+        near_duplicates(keyed.select(row, f"`{text}`"), row, text, shingle, distance)
+        .where(F.col(row) == F.col("component_id"))
+        .select(row)
+    )
+    picked = keyed.join(first, row, "left_semi")
+    numbered = picked.withColumn(number, F.row_number().over(Window.partitionBy(row).orderBy(row)))
+    return numbered.where(F.col(number) == 1).select(docs.columns)
