@@ -16,6 +16,8 @@ from backframe.llm.pii import replace_entities
 from backframe.llm.quality import judge
 from backframe.llm.sharding import shard_documents
 from backframe.llm.simhash import near_duplicates
+from backframe.llm.substrings import substring_dedup
+from backframe.llm.suffixes import suffix_dedup
 from backframe.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +71,21 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def digests(found: DataFrame, units: str) -> DataFrame:
+    return found.select(
+        "doc_id",
+        F.col("n_units").alias(units),
+        F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["length"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(suffix_dedup(table(spark, sf_dir, "documents")), "n_bytes")
+
+
 @query
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -82,3 +99,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "tokens.*")
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(substring_dedup(table(spark, sf_dir, "documents")), "n_words").drop("n_spans")
