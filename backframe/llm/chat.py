@@ -17,6 +17,8 @@ from backframe.llm.common import python_ready
 from backframe.llm.tokens import tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Texts that a worker encodes, and conversations that it assembles, at once.
+AT_ONCE = 128
 #: The template's marks; their ids follow the vocabulary's in this order.
 HEAD, BODY, END = MARKS = ("<|turn|>", "<|says|>", "<|over|>")
 #: Control strings of common templates, kept out of content as well.
@@ -54,8 +56,12 @@ def content_tokenizer(path: str) -> Tokenizer:
     return tokenizer
 
 
-def encode(tokenizer: Tokenizer, texts: list[str]) -> list[list[int]]:
-    return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+def encode(tokenizer: Tokenizer, texts: list[str]) -> list[np.ndarray]:
+    out = []
+    for i in range(0, len(texts), AT_ONCE):
+        some = tokenizer.encode_batch_fast(texts[i : i + AT_ONCE], add_special_tokens=False)
+        out += [np.array(e.ids, np.int32) for e in some]
+    return out
 
 
 def assemble(turns: list[tuple[str, list[int], list[int]]], first_mark: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +76,7 @@ def assemble(turns: list[tuple[str, list[int], list[int]]], first_mark: int) ->
         lengths += [1, len(role_ids), 1, len(text_ids), 1]
         steps.append(role == "assistant")
     starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    ids = np.fromiter((i for s in segments for i in s), np.int32, starts[-1])
+    ids = np.concatenate([np.asarray(s, np.int32) for s in segments]) if segments else np.zeros(0, np.int32)
     edge = np.zeros(len(ids) + 1, np.int64)
     for turn, loss in enumerate(steps):
         if loss:
@@ -126,19 +132,21 @@ def format_chats(conversations: DataFrame, tokenizer: str = TOKENIZER) -> DataFr
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first_mark = content_tokenizer(path).get_vocab_size()
-        for batch in batches:
-            made = [
-                assemble(list(zip(*turns, strict=True)), first_mark)
-                for turns in zip(*(batch.column(k).to_pylist() for k in range(1, 4)), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([ids for ids, _ in made], pa.list_(pa.int32())),
-                    pa.array([mask for _, mask in made], pa.list_(pa.int8())),
-                ],
-                names=["conv_id", "input_ids", "loss_mask"],
-            )
+        for whole in batches:
+            for i in range(0, len(whole), AT_ONCE):
+                batch = whole.slice(i, AT_ONCE)
+                made = [
+                    assemble(list(zip(*turns, strict=True)), first_mark)
+                    for turns in zip(*(batch.column(k).to_pylist() for k in range(1, 4)), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.array([ids for ids, _ in made], pa.list_(pa.int32())),
+                        pa.array([mask for _, mask in made], pa.list_(pa.int8())),
+                    ],
+                    names=["conv_id", "input_ids", "loss_mask"],
+                )
 
     return grouped.mapInArrow(join, out)
 
