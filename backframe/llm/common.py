@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ from backframe.session import ship_package
 #: The white space that parts words, space and \t to \r.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 #: Bytes that one Arrow batch may hold on its way to a Python worker.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,3 +71,14 @@ def settled(frame: DataFrame, name: str, *fields: Column) -> DataFrame:
     """
     kept = [F.col(f"`{c}`") for c in frame.columns if c.lower() != name.lower()]
     return frame.select(*kept, F.explode(F.array(F.struct(*fields))).alias(name))
+
+
+def let_go() -> None:
+    """Give memory that a task no longer needs back to the system.
+
+    Python workers outlive their tasks and stand beside the executor's heap; what Arrow and the C
+    library keep for reuse would count against the stages that follow.
+    """
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)

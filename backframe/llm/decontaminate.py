@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from backframe.llm.common import fresh_name, python_ready
+from backframe.llm.common import fresh_name, let_go, python_ready
 from backframe.session import stored
 
 WINDOW = 13
@@ -149,6 +149,7 @@ def decontaminate(
                     ],
                     schema=batch.schema,
                 )
+            let_go()
 
         return add
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from backframe.llm.common import python_ready
+from backframe.llm.common import let_go, python_ready
 from backframe.llm.tokens import tokenizer_path, word_encoder
 from backframe.session import stored
 
@@ -106,6 +106,8 @@ def pieces(docs: DataFrame, key: str, text: str, capacity: int, path: str) -> Da
                         rows.append((name, start, len(own) // 4, zlib.crc32(own), n))
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        encoder.forget()
+        let_go()
 
     names = ["name", "start", "length", "ids_crc32", "doc_tokens"]
     kinds = [pa.string(), *[pa.int64()] * 4]

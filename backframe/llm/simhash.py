@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from backframe.llm.common import fresh_name, python_ready, whole_partition
+from backframe.llm.common import fresh_name, let_go, python_ready, whole_partition
 from backframe.llm.graph import components
 from backframe.session import stored
 
@@ -49,9 +49,11 @@ def with_fingerprint(docs: DataFrame, name: str, text: str = "text", shingle: in
     python_ready(docs.sparkSession)
 
     @F.pandas_udf("long")
-    def made(texts: pd.Series) -> pd.Series:
-        prints = [fingerprint(t, shingle) if isinstance(t, str) else 0 for t in texts]
-        return pd.Series(np.array(prints, np.uint64).view(np.int64))
+    def made(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            prints = [fingerprint(t, shingle) if isinstance(t, str) else 0 for t in texts]
+            yield pd.Series(np.array(prints, np.uint64).view(np.int64))
+        let_go()
 
     return docs.withColumn(name, made(F.col(f"`{text}`")))
 

@@ -66,6 +66,10 @@ class WordEncoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.marks = {m: self.alone([m])[0] for m in (b".", b",")}
 
+    def forget(self) -> None:
+        """Keep only a few of the words, those met first, for the next task."""
+        self.known = dict(islice(self.known.items(), REMEMBERED // 12))
+
     def alone(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8") for w in words]
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
