@@ -18,14 +18,7 @@ from pyspark.sql import functions as F
 
 from backframe.functions.expressions import clean_double, pick
 from backframe.operators.bins import overview, with_bins, with_fine_bin
-
-MAX_SMALL_LEVELS = 1000
-
-
-def few_levels(df: DataFrame, column: str, limit: int = MAX_SMALL_LEVELS) -> bool:
-    """Whether a column has at most ``limit`` distinct values; the check stops beyond that."""
-    return df.select(column).distinct().limit(limit + 1).count() <= limit
-
+from backframe.session import ship_package
 
 def _long(df: DataFrame, columns: Sequence[str], keep: Sequence[Column]) -> DataFrame:
     """(…keep, i, v) for every value present."""
@@ -40,15 +33,9 @@ def _class(name: str) -> Column:
 def class_histogram(
     df: DataFrame, columns: Sequence[str], by: str, width: float = 0.2
 ) -> DataFrame:
-    """(name, class, bin, start, n, density) with bins counted from each class's minimum.
-
-    The minima are broadcast where a check finds the classes to be few; otherwise the values
-    meet them in an ordinary join.
-    """
+    """(name, class, bin, start, n, density) with bins counted from each class's minimum."""
     rows = _long(df, columns, [_class(by)]).where(F.col("class").isNotNull())
     starts = rows.groupBy("i", "class").agg(F.min("v").alias("lo"), F.count("v").alias("total"))
-    if few_levels(df, by):
-        starts = F.broadcast(starts)  # at most columns x levels rows
     bins = (
         rows.join(starts, ["i", "class"])
         .groupBy("i", "class", F.floor((F.col("v") - F.col("lo")) / width).alias("bin"))
@@ -82,34 +69,33 @@ def class_kde(
     columns: Sequence[str],
     by: str,
     points: int = 500,
-    resolution: int = 2048,
+    fineness: int = 256,
 ) -> DataFrame:
     """(name, class, point, x, density): Gaussian kernel density with Scott's bandwidth.
 
     The curve of a class runs from its smallest to its largest value. A class without spread
-    has no curve.
+    has no curve. Values are summed in buckets of a class's own bandwidth over ``fineness``,
+    each standing for the mean of its values, so what the buckets blur stays below the curve's
+    own smoothing, wherever the column lies and whatever its range.
     """
+    rows = _long(df, columns, [_class(by)]).where(F.col("class").isNotNull())
+    shapes = rows.groupBy("i", "class").agg(
+        F.count("v").alias("total"),
+        F.min("v").alias("lo"),
+        F.max("v").alias("hi"),
+        # Spark merges central moments, so values far from zero keep their spread.
+        (F.stddev_samp("v") * F.pow(F.count("v"), F.lit(-0.2))).alias("h"),
+    ).where(F.col("h") > 0)
     buckets = (
-        _bucketed(df, columns, [_class(by)], resolution)
-        .where(F.col("class").isNotNull())
-        .groupBy("i", "class", "bucket")
+        rows.join(shapes.select("i", "class", F.col("lo").alias("from"), "h"), ["i", "class"])
+        .groupBy("i", "class", F.floor((F.col("v") - F.col("from")) * fineness / F.col("h")).alias("bucket"))
         .agg(
             F.count("v").alias("n"),
-            F.when(F.min("v") == F.max("v"), F.min("v")).otherwise(F.avg("v")).alias("x"),
-            F.min("v").alias("lo"),
-            F.max("v").alias("hi"),
-            F.sum("v").alias("s"),
-            F.sum(F.col("v") * F.col("v")).alias("ss"),
+            F.when(F.min("v") == F.max("v"), F.min("v"))
+            .otherwise(F.min("v") + F.avg(F.col("v") - F.col("from")) - F.min(F.col("v") - F.col("from")))
+            .alias("x"),
         )
     )
-    total, s = F.sum("n"), F.sum("s")
-    variance = F.try_divide(F.sum("ss") - s * s / total, total - 1)
-    shapes = buckets.groupBy("i", "class").agg(
-        total.alias("total"),
-        F.min("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-        (F.sqrt(F.greatest(variance, F.lit(0.0))) * F.pow(total, -0.2)).alias("h"),
-    ).where(F.col("h") > 0)
     grid = shapes.select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     ).withColumn(
@@ -168,8 +154,6 @@ def quantiles(
         )
     )
     holders = wanted.select("i", "class", "bucket").distinct()
-    if by is None or few_levels(df, by):
-        holders = F.broadcast(holders)  # at most columns x levels x probabilities x 2 rows
     in_bucket = Window.partitionBy("i", "class", "bucket").orderBy("v")
     values = (
         rows.join(holders, ["i", "class", "bucket"])
@@ -311,6 +295,8 @@ def lowess_trend(
     mean_x = F.sum("sx").over(same_x) / F.sum("n").over(same_x)
     points = points.withColumn("x", F.when(lo == hi, lo).otherwise(mean_x))
 
+    ship_package(df.sparkSession)
+
     def curve(group: pd.DataFrame) -> pd.DataFrame:
         at, fit = _lowess_curve(
             group["x"].to_numpy(), group["y"].to_numpy(), group["n"].to_numpy(float),

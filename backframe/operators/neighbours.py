@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from backframe.session import ship_package
+
 _SLACK = 1e-9
 
 
@@ -36,6 +38,8 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def _to_nearest_pivot(df: DataFrame, pivots: np.ndarray, schema: str) -> DataFrame:
+    ship_package(df.sparkSession)
+
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):

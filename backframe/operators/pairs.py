@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from backframe.functions.expressions import as_column, pick
+from backframe.functions.expressions import clean_double, pick
 from backframe.operators.association import exploded_pairs
 from backframe.operators.bins import Overview, bin_edges, binned, overview
 
@@ -35,8 +35,13 @@ def _crossed(df: DataFrame, left: str, right: str) -> DataFrame:
     )
 
 
+def _answered(df: DataFrame, response: str) -> DataFrame:
+    """The rows with a response; a missing one or NaN takes part in no count and no sum."""
+    return df.where(clean_double(response).isNotNull())
+
+
 def _response(response: str) -> Column:
-    return as_column(response).cast("double").alias("y")
+    return clean_double(response).alias("y")
 
 
 def cells(
@@ -50,8 +55,9 @@ def cells(
 
     Two continuous columns or two categorical ones pair up unordered; given both kinds, each
     category pairs with each number. Continuous columns are cut into bins, and a cell then
-    shows the bin's number.
+    shows the bin's number. Rows without a response are left out, of the bins as well.
     """
+    df = _answered(df, response)
     return _cells(df, response, continuous, categorical,
                   overview(df, continuous, bins, response))
 
@@ -66,7 +72,7 @@ def _cells(
     labels = F.array(*[F.col(c).cast("string") for c in categorical]).alias("labels")
     # Distances from the mean are summed, not raw responses: no large numbers cancel out.
     mean = F.lit(facts.mean)
-    distance = (as_column(response).cast("double") - mean).alias("d")
+    distance = (clean_double(response) - mean).alias("d")
     rows = binned(df, continuous, facts.ranges, keep=[distance, labels])
     if continuous and categorical:
         pairs = _crossed(rows, "labels", "bins")
@@ -101,6 +107,7 @@ def brute_force(
     over the observed cells. ``between``: the sum of the scores divided by the number of
     observed cells, and their mean weighted by the cells' sizes.
     """
+    df = _answered(df, response)
     facts = overview(df, continuous, bins, response)
     table = _cells(df, response, continuous, categorical, facts)
     if score == "within":
@@ -120,6 +127,7 @@ def binned_response(
     df: DataFrame, response: str, columns: Sequence[str], bins: int = 10
 ) -> DataFrame:
     """Every bin of every column, empty ones included: (name, bin, middle, n, mean, overall)."""
+    df = _answered(df, response)
     facts = overview(df, columns, bins, response)
     filled = (
         binned(df, columns, facts.ranges, keep=[_response(response)])

@@ -192,13 +192,50 @@ def brute_con_con_mor(spark, sf):
     BINNED
     + _union(
         f"SELECT '{n1}' AS x1, '{n2}' AS x2, {c1} AS cell1, {c2} AS cell2, count(*) AS n, "
-        f"round(avg(y), 6) AS mean FROM binned GROUP BY {c1}, {c2}"
-        for (n1, c1), (n2, c2) in itertools.combinations(_CON[:3], 2)
+        f"round(avg(y), 9) AS mean FROM binned GROUP BY {c1}, {c2}"
+        for (n1, c1), (n2, c2) in itertools.combinations(_CON, 2)
     ),
 )
 def pair_cells(spark, sf):
-    cells = pairs.cells(load(spark, sf, "sales"), RESPONSE, continuous=CONTINUOUS[:3])
-    return rounded(cells.select("x1", "x2", "cell1", "cell2", "n", "mean"))
+    cells = pairs.cells(load(spark, sf, "sales"), RESPONSE, continuous=CONTINUOUS)
+    return rounded(cells.select("x1", "x2", "cell1", "cell2", "n", "mean"), 9)
+
+
+# Documents are labelled in part: those without a label have no response.
+LABELLED = """WITH labelled AS (SELECT d.lang, d.source, d.n_chars, CAST(l.toxic AS DOUBLE) AS y
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+  told AS (SELECT *, (SELECT avg(y) FROM labelled) AS mu, (SELECT count(y) FROM labelled) AS total
+    FROM labelled WHERE y IS NOT NULL) """
+
+
+def labelled(spark, sf):
+    labels = load(spark, sf, "labels").select("doc_id", F.col("toxic").cast("double").alias("y"))
+    return load(spark, sf, "documents").join(labels, "doc_id", "left")
+
+
+@query(
+    "brute_missing_response",
+    LABELLED + "SELECT 'lang' AS x1, 'source' AS x2, round(avg(d), 6) AS mse, round(avg(d * n / total), 6) AS wmse "
+    "FROM (SELECT avg((y - mu) * (y - mu)) AS d, count(*) AS n, any_value(total) AS total FROM told "
+    "GROUP BY lang, source)",
+)
+def brute_missing_response(spark, sf):
+    """Rows without a response count in no cell."""
+    return rounded(pairs.brute_force(labelled(spark, sf), "y", categorical=["lang", "source"]))
+
+
+@query(
+    "mean_of_response_missing",
+    LABELLED
+    + f""", e AS (SELECT min(n_chars) AS lo, (max(n_chars) - min(n_chars)) / CAST({_BINS} AS DOUBLE) AS st FROM told)
+    SELECT 'n_chars' AS name, round(sum(d) / CAST({_BINS} AS DOUBLE), 9) AS mse,
+           round(sum(d * n) / sum(n), 9) AS wmse
+    FROM (SELECT (avg(y) - any_value(mu)) * (avg(y) - any_value(mu)) AS d, count(*) AS n
+          FROM (SELECT *, {_bin_sql("n_chars").replace("lo_n_chars", "lo").replace("st_n_chars", "st")} AS b
+                FROM told CROSS JOIN e) GROUP BY b)""",
+)
+def mean_of_response_missing(spark, sf):
+    return rounded(pairs.mean_of_response(labelled(spark, sf), "y", ["n_chars"]), 9)
 
 
 @query(
@@ -260,7 +297,7 @@ def level_histogram(spark, sf):
     return rounded(out.drop("start"))
 
 
-_CURVED = ["quantity", "discount", "tax", "part_size"]
+_CURVED = CONTINUOUS
 _POINTS = 40
 
 

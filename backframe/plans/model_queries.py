@@ -70,13 +70,13 @@ def logit_z_values(spark, sf):
 
 @query("rf_importance")
 def rf_importance(spark, sf):
-    return models.forest_importance(load(spark, sf, "sales"), CONTINUOUS, RESPONSE, trees=10)
+    return models.forest_importance(load(spark, sf, "sales"), CONTINUOUS, RESPONSE)
 
 
 @query("feature_summary")
 def feature_summary(spark, sf):
     summary = selection.feature_summary(
-        load(spark, sf, "sales"), CONTINUOUS, RESPONSE, trees=10
+        load(spark, sf, "sales"), CONTINUOUS, RESPONSE
     )
     return selection.printed_statistics(summary)
 
@@ -90,14 +90,14 @@ def prune_correlated(spark, sf):
     sales = load(spark, sf, "sales").withColumn(
         "twin", F.col("extendedprice") / F.col("quantity") + F.col("tax")
     )
-    importance = models.forest_importance(sales, _TWINNED, RESPONSE, trees=5)
+    importance = models.forest_importance(sales, _TWINNED, RESPONSE)
     return selection.prune_correlated(sales, _TWINNED, importance)
 
 
 @query("prune_weak")
 def prune_weak(spark, sf):
     summary = selection.feature_summary(
-        load(spark, sf, "sales"), CONTINUOUS, RESPONSE, trees=5
+        load(spark, sf, "sales"), CONTINUOUS, RESPONSE
     )
     return selection.prune_weak(summary)
 
@@ -152,7 +152,7 @@ def _scored(model, rows):
 def rf_classify(spark, sf):
     rows = _split_games(spark, sf)
     model = models.fit_forest(
-        rows.where("NOT is_test"), _predictors(rows), "hometeam_win", trees=50, max_depth=5
+        rows.where("NOT is_test"), _predictors(rows), "hometeam_win", trees=50
     )
     return _scored(model, rows)
 
@@ -168,7 +168,7 @@ def logreg_classify(spark, sf):
 def scaled_forest(spark, sf):
     """Scaler and forest in one, judged on the rows it was fitted on."""
     sales = load(spark, sf, "sales").select(*CONTINUOUS, RESPONSE)
-    model = models.fit_scaled_forest(sales, CONTINUOUS, RESPONSE, trees=10)
+    model = models.fit_scaled_forest(sales, CONTINUOUS, RESPONSE)
     return models.accuracy(model.transform(sales), "prediction", RESPONSE)
 
 

@@ -175,11 +175,8 @@ def test_quantiles_are_exact(df, frame, resolution):
         assert got[c, s, p]["value"] == pytest.approx(np.quantile(values, p), abs=1e-12)
 
 
-def test_histogram_holds_every_row(df, frame, monkeypatch):
+def test_histogram_holds_every_row(df, frame):
     few = distribution.class_histogram(df, ["a", "b"], "kind", 0.2)
-    monkeypatch.setattr(distribution, "few_levels", lambda *_: False)
-    many = distribution.class_histogram(df, ["a", "b"], "kind", 0.2)
-    assert sorted(few.collect()) == sorted(many.collect())
     n = few.groupBy("name").agg(F.sum("n").alias("n"))
     for c, total in as_dicts(n, "name").items():
         assert total["n"] == frame.dropna(subset=[c, "kind"]).shape[0]
@@ -200,6 +197,28 @@ def test_density_curve(df, frame):
         assert part["density"].to_numpy() == pytest.approx(want, rel=1e-3)
 
 
+@pytest.mark.parametrize("place", [0.0, 1e9])
+def test_density_curve_far_from_zero_and_with_an_outlier(spark, place):
+    random = np.random.default_rng(4)
+    values = np.concatenate([random.uniform(0, 2, 3000), [90.0]]) + place
+    df = spark.createDataFrame(pd.DataFrame({"v": values, "k": "x"}))
+    got = distribution.class_kde(df, ["v"], "k", points=40).toPandas().sort_values("point")
+    h = values.std(ddof=1) * len(values) ** -0.2
+    x = np.linspace(values.min(), values.max(), 40)
+    want = np.exp(-0.5 * ((x[:, None] - values) / h) ** 2).sum(axis=1) / (len(values) * h * math.sqrt(2 * math.pi))
+    assert got["density"].to_numpy() == pytest.approx(want, rel=1e-3, abs=1e-6)
+
+
+def test_missing_responses_take_no_part(spark):
+    rows = [("a", "p", 1.0), ("a", "p", None), ("a", "q", 0.0), ("b", "q", 0.0), ("b", "q", float("nan"))]
+    df = spark.createDataFrame(rows, "x string, z string, y double")
+    got = {(r.cell1, r.cell2): r for r in pairs.cells(df, "y", categorical=["x", "z"]).collect()}
+    assert {k: r.n for k, r in got.items()} == {("a", "p"): 1, ("a", "q"): 1, ("b", "q"): 1}
+    assert got["a", "p"]["mean"] == pytest.approx(1.0)
+    assert got["a", "p"]["within"] == pytest.approx(4 / 9)
+    assert all(r["mse"] == r["mse"] for r in pairs.brute_force(df, "y", categorical=["x", "z"]).collect())
+
+
 def plain_lowess(x, y, share, rounds):
     """Row by row, with no counting of equal points."""
     n, trust = len(x), np.ones(len(x))
