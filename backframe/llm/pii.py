@@ -49,13 +49,13 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})*\.[A-Za-z]{2,24}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?:sk|pk|ghp|gho|xox[bp])[_\-][A-Za-z0-9_\-]{16,}"
-    r"|(?=[0-9]{0,40}[a-f])(?=[a-f]{0,40}[0-9])[0-9a-f]{24,128}|(?<=[=:] ?[\"'])[A-Za-z0-9_\-+/=]{12,})(?![A-Za-z0-9])",
+    r"|(?=[0-9]{0,40}[a-fA-F])(?=[a-fA-F]{0,40}[0-9])[0-9a-fA-F]{24,128}|(?<=[=:] ?[\"'])[A-Za-z0-9_\-+/=]{12,})(?![A-Za-z0-9])",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?\(?\d{2,4}\)?[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}"
     r"|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d.])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5}|\d{13,19})(?![\d.]\d|\d)",
     "address": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
-    "given": rf"(?<!\p{{L}})(?:{_NAMES})(?= \p{{Lu}}\p{{Ll}})",
+    "given": rf"(?=\p{{Lu}}\p{{Ll}})(?<!\p{{L}})(?:{_NAMES})(?= \p{{Lu}}\p{{Ll}})",
     "surname": rf"(?=\p{{Lu}}\p{{Ll}})(?<=(?<!\p{{L}})(?:{_NAMES}|{'|'.join(TITLES)})[.]? )\p{{Lu}}\p{{Ll}}+",
 }
 ANY = "|".join(PATTERNS.values())
