@@ -44,6 +44,10 @@ HEADLINE = [
     "box_summary",
     "logit_univariate",
     "knn_classify",
+    "summary_stats",
+    "contingency",
+    "lowess_trend",
+    "logreg_classify",
 ]
 
 
