@@ -14,7 +14,9 @@ neighbouring windows mostly share one, so they are dealt as stretches of windows
 4. Each block removes what the windows cover.
 
 Blocks meet their answers by a join on the block. A bucket gets a stretch at most once from each
-block, however many documents have it.
+block, however many documents have it. Stretches under an anchor that many blocks have stop over
+at salted buckets, one for each group of blocks, where equal ones are reduced to the least
+document's; what is left goes on to the anchor's bucket.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ from backframe.session import stored
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 NO_ID = -(1 << 63)
+#: An anchor in more blocks than this is hot; about as many blocks share a salted bucket.
+HOT_BLOCKS = 64
 #: Bytes of an anchor that are sent; its low bytes tell the bucket.
 SENT = 5
 ONE = np.uint64(1)
@@ -115,6 +119,10 @@ class Kind:
     gram: int
     inside: bool
 
+    def windows(self, text: bytes) -> int:
+        """Windows of a slice."""
+        return (text.count(b" ") + 1 if self.units is WordUnits else len(text)) - self.window + 1
+
 
 @dataclass
 class Stretches:
@@ -213,26 +221,30 @@ EXCHANGED = "c0 long, c1 long, c2 binary"
 KINDS = (pa.int64(), pa.int64(), pa.binary())
 
 
-def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def make_blocks(block_bytes: int) -> Callable:
     """(block, bytes, payload) rows from (id, text) rows in the order that they come."""
-    part, number = TaskContext.get().partitionId(), 0
-    ids, texts, size = [], [], 0
 
-    def close() -> pa.RecordBatch:
-        return binary_batch([((part << 32) | number, size, pack_block(ids, texts))], *KINDS)
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
+        ids, texts, size = [], [], 0
 
-    for batch in batches:
-        for i in range(batch.num_rows):
-            name, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py() or ""
-            raw = text.encode("utf-8", "surrogatepass")
-            if ids and (size + len(raw) > BLOCK_BYTES or len(ids) >= 1 << 16):
-                yield close()
-                number, ids, texts, size = number + 1, [], [], 0
-            ids.append(NO_ID if name is None else name)
-            texts.append(raw)
-            size += len(raw)
-    if ids:
-        yield close()
+        def close() -> pa.RecordBatch:
+            return binary_batch([((part << 32) | number, size, pack_block(ids, texts))], *KINDS)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                name, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py() or ""
+                raw = text.encode("utf-8", "surrogatepass")
+                if ids and (size + len(raw) > block_bytes or len(ids) >= 1 << 16):
+                    yield close()
+                    number, ids, texts, size = number + 1, [], [], 0
+                ids.append(NO_ID if name is None else name)
+                texts.append(raw)
+                size += len(raw)
+        if ids:
+            yield close()
+
+    return make
 
 
 def send_anchors(kind: Kind, buckets: int) -> Callable:
@@ -258,35 +270,45 @@ def count_of(size: int) -> int:
     return n
 
 
-def answer_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, bucket, bits) for (bucket, block, anchors): which anchors occur twice."""
-    by_bucket = defaultdict(list)
-    for bucket, block, payload in rows_of(batches):
-        by_bucket[bucket].append((block, payload))
-    for bucket in sorted(by_bucket):
-        rows, keys, flags = by_bucket[bucket], [], []
-        for _, payload in rows:
-            n = count_of(len(payload))
-            flags.append(np.unpackbits(np.frombuffer(payload, np.uint8, -(-n // 8)), count=n).astype(bool))
-            planes = np.frombuffer(payload, np.uint8, SENT * n, -(-n // 8)).reshape(SENT, n)
-            full = np.zeros((n, 8), np.uint8)
-            full[:, :SENT] = planes[::-1].T
-            keys.append(full.view("<u8").ravel())
-        key, flag = np.concatenate(keys), np.concatenate(flags)
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        same = np.zeros(len(key) + 1, bool)
-        same[1:-1] = ordered[1:] == ordered[:-1]
-        first = np.flatnonzero(~same[:-1])
-        repeated = np.logical_or.reduceat((same[:-1] | same[1:]) | flag[order], first)
-        answer = np.empty(len(key), bool)
-        answer[order] = np.repeat(repeated, np.diff(np.append(first, len(key))))
-        cuts = np.cumsum([len(k) for k in keys])[:-1]
-        parts = np.split(answer, cuts)
-        yield binary_batch(
-            [(block, bucket, np.packbits(a).tobytes()) for (block, _), a in zip(rows, parts, strict=True)], *KINDS
-        )
-        by_bucket[bucket] = []
+def answer_anchors(hot: int) -> Callable:
+    """(block, bucket, bits and places) for (bucket, block, anchors): which occur twice, which are hot."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_bucket = defaultdict(list)
+        for bucket, block, payload in rows_of(batches):
+            by_bucket[bucket].append((block, payload))
+        for bucket in sorted(by_bucket):
+            rows, keys, flags = by_bucket[bucket], [], []
+            for _, payload in rows:
+                n = count_of(len(payload))
+                flags.append(np.unpackbits(np.frombuffer(payload, np.uint8, -(-n // 8)), count=n).astype(bool))
+                planes = np.frombuffer(payload, np.uint8, SENT * n, -(-n // 8)).reshape(SENT, n)
+                full = np.zeros((n, 8), np.uint8)
+                full[:, :SENT] = planes[::-1].T
+                keys.append(full.view("<u8").ravel())
+            key, flag = np.concatenate(keys), np.concatenate(flags)
+            order = np.argsort(key, kind="stable")
+            ordered = key[order]
+            same = np.zeros(len(key) + 1, bool)
+            same[1:-1] = ordered[1:] == ordered[:-1]
+            first = np.flatnonzero(~same[:-1])
+            repeated = np.logical_or.reduceat((same[:-1] | same[1:]) | flag[order], first)
+            twice, many = np.empty(len(key), bool), np.empty(len(key), bool)
+            sizes = np.diff(np.append(first, len(key)))
+            twice[order] = np.repeat(repeated, sizes)
+            many[order] = np.repeat(sizes > hot, sizes)
+            cuts = np.cumsum([len(k) for k in keys])[:-1]
+            parts = zip(rows, np.split(twice, cuts), np.split(many, cuts), strict=True)
+            yield binary_batch(
+                [
+                    (block, bucket, np.packbits(a).tobytes() + np.flatnonzero(h).astype(np.uint32).tobytes())
+                    for (block, _), a, h in parts
+                ],
+                *KINDS,
+            )
+            by_bucket[bucket] = []
+
+    return answer
 
 
 def pack_texts(start: np.ndarray, row: np.ndarray, doc: np.ndarray, texts: list[bytes]) -> bytes:
@@ -312,7 +334,16 @@ def runs_bytes(start: np.ndarray, count: np.ndarray) -> bytes:
 OWN = -1
 
 
-def send_stretches(kind: Kind, buckets: int, wide: int) -> Callable:
+def bucket_of(anchor: np.ndarray, wide: int) -> np.ndarray:
+    return (mixed(anchor) % np.uint64(wide)).astype(np.int64)
+
+
+def salt_of(block: int, groups: int) -> int:
+    """Group of the block, from 1 on; bucket b of group g is numbered g * wide + b."""
+    return 1 + int(mixed(np.array([block], np.uint64))[0] % np.uint64(groups))
+
+
+def send_stretches(kind: Kind, buckets: int, wide: int, groups: int) -> Callable:
     """Stretches in question to their buckets; what the block alone tells goes back to itself."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,10 +352,12 @@ def send_stretches(kind: Kind, buckets: int, wide: int) -> Callable:
             units = kind.units(texts)
             s = stretches(units, kind)
             bits = {a["c1"]: a["c2"] for a in answers or ()}
-            asked = []
+            asked, many = [], []
             for bucket, short, _ in sent_anchors(s, ids, kind, buckets):
-                yes = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(short)).astype(bool)
+                head = -(-len(short) // 8)
+                yes = np.unpackbits(np.frombuffer(bits[bucket], np.uint8, head), count=len(short)).astype(bool)
                 asked.append(short[yes])
+                many.append(short[np.frombuffer(bits[bucket], np.uint32, -1, head)])
             wanted = np.unique(np.concatenate(asked)) if asked else np.zeros(0, np.uint64)
             if not len(wanted):
                 continue
@@ -345,17 +378,52 @@ def send_stretches(kind: Kind, buckets: int, wide: int) -> Callable:
             own = order[repeat]
             rows = [(OWN, block, runs_bytes(start[own], count[own]))] if len(own) else []
             rest = order[~repeat]
-            to = (mixed(s.anchor[keep]) % np.uint64(wide)).astype(np.int64).tolist()
-            bucket = np.array([to[i] for i in rest], np.int64)
-            rest, bucket = rest[np.argsort(bucket, kind="stable")], np.sort(bucket, kind="stable")
-            for part in np.split(rest, np.flatnonzero(np.diff(bucket)) + 1):
+            to = bucket_of(s.anchor[keep], wide)
+            to[np.isin(short[keep], np.concatenate(many))] += salt_of(block, groups) * wide
+            rest = rest[np.argsort(to[rest], kind="stable")]
+            for part in np.split(rest, np.flatnonzero(np.diff(to[rest])) + 1):
                 if len(part):
-                    rows.append((to[part[0]], block, pack_texts(start[part], row[part], doc[part], [pieces[i] for i in part])))
+                    own_texts = [pieces[i] for i in part]
+                    rows.append((int(to[part[0]]), block, pack_texts(start[part], row[part], doc[part], own_texts)))
             yield binary_batch(rows, *KINDS)
 
     return send
 
 
+def reduce_hot(kind: Kind, wide: int) -> Callable:
+    """Of equal stretches in a salted bucket, those of the least document go on to the plain one.
+
+    All windows of the others repeat, which is the answer to their blocks. Plain rows pass unopened.
+    """
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_bucket = defaultdict(list)
+        for bucket, block, payload in rows_of(batches):
+            if bucket < wide:
+                yield binary_batch([(bucket, block, payload)], *KINDS)
+            else:
+                by_bucket[bucket].append((block, payload))
+        for bucket in sorted(by_bucket):
+            opened = [(block, *open_texts(payload)) for block, payload in by_bucket.pop(bucket)]
+            least: dict[bytes, int] = {}
+            for _, _, _, doc, texts in opened:
+                for own, text in zip(doc.tolist(), texts, strict=True):
+                    least[text] = min(own, least.get(text, own))
+            rows = []
+            for block, start, row, doc, texts in opened:
+                repeat = doc > np.array([least[t] for t in texts])
+                gone, rest = np.flatnonzero(repeat), np.flatnonzero(~repeat)
+                if len(gone):
+                    count = np.array([kind.windows(texts[i]) for i in gone])
+                    rows.append((OWN, block, runs_bytes(start[gone], count)))
+                if len(rest):
+                    left = pack_texts(start[rest], row[rest], doc[rest], [texts[i] for i in rest])
+                    rows.append((bucket % wide, block, left))
+            yield binary_batch(rows, *KINDS)
+
+    return reduce
+
+
 #: Gets stretches as (texts, documents, rows as (block, row), starts) and tells for each window of
 #: each, in order, whether it repeats.
 Resolver = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], list[np.ndarray]]
@@ -446,28 +514,31 @@ def remove_repeats(docs: DataFrame, kind: Kind, resolve: Resolver, key: str, tex
 
     ``spans`` are the maximal removed runs, ``kept`` the rest, words joined by one space. A null
     text is empty; a null key counts as less than any other; rows of one key do not count as
-    before one another. Other columns are left out. An empty table gives no rows.
+    before one another. Other columns are left out. An empty table gives no rows. Anchors in more
+    than ``HOT_BLOCKS`` blocks go by salted buckets.
     """
     spark = docs.sparkSession
     python_ready(spark)
     own = docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`"))
-    made = own.mapInArrow(make_blocks, EXCHANGED).toDF("block", "size", "payload")
+    made = own.mapInArrow(make_blocks(BLOCK_BYTES), EXCHANGED).toDF("block", "size", "payload")
     blocks = stored(made, "blocks")
-    size = blocks.agg(F.sum("size")).first()[0] or 0
+    size, number = blocks.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(usual, size // BUCKET_BYTES)
     buckets = 2 * parts
     dealt = blocks.select("block", "payload")
     asked = dealt.mapInArrow(send_anchors(kind, buckets), EXCHANGED).repartition(parts, "c0")
-    told = asked.mapInArrow(answer_anchors, EXCHANGED)
+    told = asked.mapInArrow(answer_anchors(HOT_BLOCKS), EXCHANGED)
 
     def with_answers(answers: DataFrame) -> DataFrame:
         gathered = answers.groupBy(F.col("c0").alias("block")).agg(F.collect_list(F.struct("c1", "c2")).alias("answers"))
         return dealt.join(gathered, "block", "left").select("block", "payload", "answers")
 
-    sent = with_answers(told).mapInArrow(send_stretches(kind, buckets, buckets), EXCHANGED)
+    groups = max(1, -(-number // HOT_BLOCKS))
+    sent = with_answers(told).mapInArrow(send_stretches(kind, buckets, buckets, groups), EXCHANGED)
     # What goes back to its own block is spread by the block.
     place = F.when(F.col("c0") == OWN, F.col("c1")).otherwise(F.col("c0"))
-    found = sent.repartition(parts, place).mapInArrow(answer_stretches(resolve), EXCHANGED)
+    reduced = sent.repartition(parts, place).mapInArrow(reduce_hot(kind, buckets), EXCHANGED)
+    found = reduced.repartition(parts, place).mapInArrow(answer_stretches(resolve), EXCHANGED)
     joined = b" " if kind.units is WordUnits else b""
     return with_answers(found).mapInArrow(apply_answers(kind, joined), RESULT).withColumnRenamed("key", key)

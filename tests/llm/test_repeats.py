@@ -57,12 +57,13 @@ def shared_texts():
     return [*texts, *TEXTS, "a " * 21, "b c " * 12, PROSE * 3, "é" * 60, "ab" * 40, "ab" * 41, "x" * 49, "x" * 50, "x" * 51]
 
 
-@pytest.mark.parametrize("block", [1 << 22, 3000])
+@pytest.mark.parametrize(("block", "hot"), [(1 << 22, 64), (3000, 64), (3000, 2)])
 @pytest.mark.parametrize(("dedup", "brute"), [(suffixes.suffix_dedup, plain_bytes), (substrings.substring_dedup, plain_words)])
-def test_against_brute_force(spark, sf_dir, dedup, brute, block, monkeypatch):
+def test_against_brute_force(spark, sf_dir, dedup, brute, block, hot, monkeypatch):
     small = table(spark, sf_dir, "documents")
     for docs in (clashing(documents(spark, shared_texts())), small):
         monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
+        monkeypatch.setattr(repeats, "HOT_BLOCKS", hot)
         made = dedup(docs)
         got = [(r.doc_id, r.n_units, [tuple(x) for x in r.spans], bytes(r.kept)) for r in made.collect()]
         want = brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
