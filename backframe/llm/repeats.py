@@ -22,11 +22,12 @@ document's; what is left goes on to the anchor's bucket.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -210,7 +211,7 @@ def binary_batch(rows: list[tuple], *kinds: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         columns = [batch.column(i) for i in range(batch.num_columns)]
         for i in range(batch.num_rows):
@@ -357,7 +358,8 @@ def send_stretches(kind: Kind, buckets: int, wide: int, groups: int) -> Callable
                 head = -(-len(short) // 8)
                 yes = np.unpackbits(np.frombuffer(bits[bucket], np.uint8, head), count=len(short)).astype(bool)
                 asked.append(short[yes])
-                many.append(short[np.frombuffer(bits[bucket], np.uint32, -1, head)])
+                hot = short[np.frombuffer(bits[bucket], np.uint32, -1, head)]
+                many.append((hot << np.uint64(24)) | np.uint64(bucket))
             wanted = np.unique(np.concatenate(asked)) if asked else np.zeros(0, np.uint64)
             if not len(wanted):
                 continue
@@ -379,7 +381,9 @@ def send_stretches(kind: Kind, buckets: int, wide: int, groups: int) -> Callable
             rows = [(OWN, block, runs_bytes(start[own], count[own]))] if len(own) else []
             rest = order[~repeat]
             to = bucket_of(s.anchor[keep], wide)
-            to[np.isin(short[keep], np.concatenate(many))] += salt_of(block, groups) * wide
+            # All blocks must agree on what is hot, so it hangs on what they sent of the anchor.
+            told = (short[keep] << np.uint64(24)) | ((s.anchor[keep] & np.uint64(0xFFFFFF)) % np.uint64(buckets))
+            to[np.isin(told, np.concatenate(many))] += salt_of(block, groups) * wide
             rest = rest[np.argsort(to[rest], kind="stable")]
             for part in np.split(rest, np.flatnonzero(np.diff(to[rest])) + 1):
                 if len(part):
@@ -390,38 +394,25 @@ def send_stretches(kind: Kind, buckets: int, wide: int, groups: int) -> Callable
     return send
 
 
-def reduce_hot(kind: Kind, wide: int) -> Callable:
-    """Of equal stretches in a salted bucket, those of the least document go on to the plain one.
+def reduced(opened: list[tuple], bucket: int, kind: Kind) -> list[tuple]:
+    """Of equal stretches those of the least document, to go on to the bucket.
 
-    All windows of the others repeat, which is the answer to their blocks. Plain rows pass unopened.
+    All windows of the others repeat, which is the answer to their blocks.
     """
-
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_bucket = defaultdict(list)
-        for bucket, block, payload in rows_of(batches):
-            if bucket < wide:
-                yield binary_batch([(bucket, block, payload)], *KINDS)
-            else:
-                by_bucket[bucket].append((block, payload))
-        for bucket in sorted(by_bucket):
-            opened = [(block, *open_texts(payload)) for block, payload in by_bucket.pop(bucket)]
-            least: dict[bytes, int] = {}
-            for _, _, _, doc, texts in opened:
-                for own, text in zip(doc.tolist(), texts, strict=True):
-                    least[text] = min(own, least.get(text, own))
-            rows = []
-            for block, start, row, doc, texts in opened:
-                repeat = doc > np.array([least[t] for t in texts])
-                gone, rest = np.flatnonzero(repeat), np.flatnonzero(~repeat)
-                if len(gone):
-                    count = np.array([kind.windows(texts[i]) for i in gone])
-                    rows.append((OWN, block, runs_bytes(start[gone], count)))
-                if len(rest):
-                    left = pack_texts(start[rest], row[rest], doc[rest], [texts[i] for i in rest])
-                    rows.append((bucket % wide, block, left))
-            yield binary_batch(rows, *KINDS)
-
-    return reduce
+    least: dict[bytes, int] = {}
+    for _, _, _, doc, texts in opened:
+        for own, text in zip(doc.tolist(), texts, strict=True):
+            least[text] = min(own, least.get(text, own))
+    rows = []
+    for block, start, row, doc, texts in opened:
+        repeat = doc > np.array([least[t] for t in texts])
+        gone, rest = np.flatnonzero(repeat), np.flatnonzero(~repeat)
+        if len(gone):
+            count = np.array([kind.windows(texts[i]) for i in gone])
+            rows.append((OWN, block, runs_bytes(start[gone], count)))
+        if len(rest):
+            rows.append((bucket, block, pack_texts(start[rest], row[rest], doc[rest], [texts[i] for i in rest])))
+    return rows
 
 
 #: Gets stretches as (texts, documents, rows as (block, row), starts) and tells for each window of
@@ -429,35 +420,40 @@ def reduce_hot(kind: Kind, wide: int) -> Callable:
 Resolver = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], list[np.ndarray]]
 
 
-def answer_stretches(resolve: Resolver) -> Callable:
+def runs_found(opened: list[tuple], resolve: Resolver) -> list[tuple]:
+    """Runs of repeated windows, for each block, from the stretches of a bucket."""
+    blocks = np.concatenate([np.full(len(o[1]), o[0]) for o in opened])
+    start, row, doc = (np.concatenate([o[k] for o in opened]) for k in (1, 2, 3))
+    texts = [t for o in opened for t in o[4]]
+    repeats = resolve(texts, doc, np.stack([blocks, row.astype(np.int64)], axis=1), start)
+    # A gap behind each stretch keeps its runs to itself.
+    flat = np.concatenate([x for r in repeats for x in (r, [False])]).astype(np.int8)
+    base = np.concatenate([[0], np.cumsum([len(r) + 1 for r in repeats])])
+    edge = np.diff(flat, prepend=0)
+    begin, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    which = np.searchsorted(base, begin, side="right") - 1
+    first = start[which].astype(np.int64) + begin - base[which]
+    owner = blocks[which]
+    order = np.argsort(owner, kind="stable")
+    owner, first, count = owner[order], first[order], (ends - begin)[order]
+    parts = np.split(np.arange(len(owner)), np.flatnonzero(np.diff(owner)) + 1)
+    return [(OWN, int(owner[p[0]]), runs_bytes(first[p], count[p])) for p in parts if len(p)]
+
+
+def answer_stretches(kind: Kind, resolve: Resolver, wide: int) -> Callable:
+    """Answers of plain buckets, and what salted ones send on; answers pass as they are."""
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_bucket = defaultdict(list)
-        for bucket, block, payload in rows_of(batches):
-            if bucket == OWN:
-                yield binary_batch([(block, bucket, payload)], *KINDS)
-            else:
+        for batch in batches:
+            done = pc.equal(batch.column(0), OWN)
+            yield batch.filter(done)
+            for bucket, block, payload in rows_of([batch.filter(pc.invert(done))]):
                 by_bucket[bucket].append((block, payload))
         for bucket in sorted(by_bucket):
             opened = [(block, *open_texts(payload)) for block, payload in by_bucket.pop(bucket)]
-            blocks = np.concatenate([np.full(len(o[1]), o[0]) for o in opened])
-            start, row, doc = (np.concatenate([o[k] for o in opened]) for k in (1, 2, 3))
-            texts = [t for o in opened for t in o[4]]
-            repeats = resolve(texts, doc, np.stack([blocks, row.astype(np.int64)], axis=1), start)
-            # A gap behind each stretch keeps its runs to itself.
-            flat = np.concatenate([x for r in repeats for x in (r, [False])]).astype(np.int8)
-            base = np.concatenate([[0], np.cumsum([len(r) + 1 for r in repeats])])
-            edge = np.diff(flat, prepend=0)
-            begin, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-            which = np.searchsorted(base, begin, side="right") - 1
-            first = start[which].astype(np.int64) + begin - base[which]
-            owner = blocks[which]
-            order = np.argsort(owner, kind="stable")
-            owner, first, count = owner[order], first[order], (ends - begin)[order]
-            rows = []
-            for part in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(owner)) + 1):
-                if len(part):
-                    rows.append((int(owner[part[0]]), bucket, runs_bytes(first[part], count[part])))
-            yield binary_batch(rows, *KINDS)
+            plain = bucket < wide
+            yield binary_batch(runs_found(opened, resolve) if plain else reduced(opened, bucket % wide, kind), *KINDS)
 
     return answer
 
@@ -538,7 +534,10 @@ def remove_repeats(docs: DataFrame, kind: Kind, resolve: Resolver, key: str, tex
     sent = with_answers(told).mapInArrow(send_stretches(kind, buckets, buckets, groups), EXCHANGED)
     # What goes back to its own block is spread by the block.
     place = F.when(F.col("c0") == OWN, F.col("c1")).otherwise(F.col("c0"))
-    reduced = sent.repartition(parts, place).mapInArrow(reduce_hot(kind, buckets), EXCHANGED)
-    found = reduced.repartition(parts, place).mapInArrow(answer_stretches(resolve), EXCHANGED)
+    answer = answer_stretches(kind, resolve, buckets)
+    # Twice, as salted buckets answer only in part: the second time, there are none.
+    first = sent.repartition(parts, place).mapInArrow(answer, EXCHANGED)
+    found = first.repartition(parts, place).mapInArrow(answer, EXCHANGED)
+    found = found.select(F.col("c1").alias("c0"), F.col("c0").alias("c1"), "c2")
     joined = b" " if kind.units is WordUnits else b""
     return with_answers(found).mapInArrow(apply_answers(kind, joined), RESULT).withColumnRenamed("key", key)
