@@ -359,12 +359,9 @@ def rolling_average(lines: DataFrame, days: int = 100, unit: str = "date") -> Da
     (game, batter, date) would give.
     """
     keys = ["game_id", "batter", "local_date"]
-    return (
-        trailing_ratio(lines, ["batter"], "local_date", "Hit", "atBat", days,
-                       alias="rolling_batting", unit=unit, carry=keys)
-        .select(*keys, "rolling_batting")
-        .distinct()
-    )
+    per_game = lines.groupBy(*keys).agg(F.sum("Hit").alias("Hit"), F.sum("atBat").alias("atBat"))
+    return trailing_ratio(per_game, ["batter"], "local_date", "Hit", "atBat", days,
+                          alias="rolling_batting", unit=unit, carry=keys).select(*keys, "rolling_batting")
 
 
 def feature_table(
