@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,17 @@ ALPHABETS = (
     "βγδζθκλμνξπρστφχψ",
     "áàâäéèêëíìîïóòôöúùûü",
 )
+#: First and last code point of ranges of one script. A letter that is in no alphabet becomes
+#: another small one of its range, one whose capital is a single letter.
+RANGES = (
+    (0xDF, 0xFF), (0x100, 0x17F), (0x180, 0x24F), (0x1E00, 0x1EFF), (0x370, 0x3FF), (0x1F00, 0x1FFF), (0x400, 0x45F),
+    (0x460, 0x52F), (0x560, 0x588), (0x10D0, 0x10FF), (0x2C00, 0x2C5F), (0x2C80, 0x2CFF), (0x13A0, 0x13FF),
+    (0xAB70, 0xABBF), (0x10400, 0x1044F), (0x104B0, 0x104FF), (0x10CC0, 0x10CFF), (0x118C0, 0x118DF), (0x1E900, 0x1E943),
+)
+#: So many attempts keep the length of an entity; each one after them draws a surrogate longer by a character.
+SHAPED = 8
+#: Characters added that make a clash as good as impossible.
+AMPLE = 32
 _NAMES = "|".join(n for own in GIVEN.values() for n in own)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: What each type looks like, in order of precedence.
@@ -74,7 +86,10 @@ TELLS = {
 
 @dataclass(frozen=True)
 class Surrogates:
-    """``secret`` keys the surrogates; without it they tell nothing of what they stand for."""
+    """``secret`` keys the surrogates; without it they tell nothing of what they stand for.
+
+    ``rounds`` are the draws after which an entity takes a surrogate of ample length at once.
+    """
 
     secret: str = "change me"
     rounds: int = 40
@@ -102,15 +117,36 @@ def byte_at(digest: Column, place: Column) -> Column:
     return F.conv(F.substring(digest, F.pmod(place, F.lit(32)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def redrawn(text: Column, digest: Column, fixed: int | Column = 0) -> Column:
-    """Each character behind the first ``fixed`` by another of its alphabet, drawn by the digest."""
+def small_letters(first: int, last: int) -> str:
+    """The small letters of a range that their capitals lead back to."""
+    chars = [chr(c) for c in range(first, last + 1)]
+    return "".join(
+        c for c in chars if unicodedata.category(c) == "Ll" and len(c.upper()) == 1 and c.upper() != c and c.upper().lower() == c
+    )
+
+
+def redrawn(text: Column, digest: Column, fixed: int | Column = 0, ascii_only: bool = True) -> Column:
+    """Each character behind the first ``fixed`` by one of its alphabet or range, drawn by the digest.
+
+    Letters of any other script become Latin ones, so that none is left as it is. ``ascii_only``
+    spares what ASCII texts do not need.
+    """
 
     def draw(char: Column, place: Column) -> Column:
-        out = F.when(place < fixed, char)
-        for letters in ALPHABETS:
+        def one_of(letters: str) -> Column:
             at = F.pmod(byte_at(digest, place), F.lit(len(letters))) + 1
-            out = out.when(F.instr(F.lit(letters), char) > 0, F.substring(F.lit(letters), at, F.lit(1)))
-        return out.otherwise(char)
+            return F.substring(F.lit(letters), at, F.lit(1))
+
+        out = F.when(place < fixed, char)
+        for letters in ALPHABETS[:5] if ascii_only else ALPHABETS:
+            out = out.when(F.instr(F.lit(letters), char) > 0, one_of(letters))
+        if ascii_only:
+            return out.otherwise(char)
+        out = out.when(char < F.lit("\x80"), char)
+        for first, last in RANGES:
+            inside = char.between(F.lit(chr(first)), F.lit(chr(last))) & char.rlike(r"^\p{L}")
+            out = out.when(inside, one_of(small_letters(first, last)))
+        return out.when(char.rlike(r"^\p{L}"), one_of(ALPHABETS[2])).otherwise(char)
 
     return F.array_join(F.transform(F.split(text, ""), draw), "")
 
@@ -126,7 +162,8 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def surrogate(kind: Column, own: Column, attempt: Column, secret: str) -> Column:
-    """Canonical surrogate of a canonical entity; the attempt varies it."""
+    """Canonical surrogate of a canonical entity; the attempt varies it, late ones are longer."""
+    longer = F.greatest(attempt - (SHAPED - 1), F.lit(0))
     digest = lambda what: F.sha2(F.concat_ws("\x1f", F.lit(secret), kind, what, attempt.cast("string")), 256)
 
     def made(seed: Column) -> Column:
@@ -135,12 +172,16 @@ def surrogate(kind: Column, own: Column, attempt: Column, secret: str) -> Column
         host = F.regexp_replace(domain, r"\.[^.]+$", "")
         # The domain hangs on itself alone, so addresses of one domain stay together.
         email = F.concat(
-            redrawn(local, seed), F.lit("@"),
+            redrawn(F.concat(local, F.repeat(F.lit("b"), longer)), seed), F.lit("@"),
             redrawn(host, F.sha2(F.concat_ws("\x1f", F.lit(secret), F.lit("domain"), domain), 256)),
             F.regexp_extract(domain, r"\.[^.]+$", 0),
         )
-        plain = redrawn(own, seed)
-        body = redrawn(own, seed, 1)
+        # Digits and letters alike are added by drawing on the last one.
+        last = F.regexp_replace(F.substring(own, -1, 1), r"^[^0-9\p{L}]$", "b")
+        room = F.concat(own, F.repeat(last, longer))
+        plain = redrawn(room, seed, ascii_only=False)
+        body = redrawn(room, seed, 1)
+        groups = [F.substring(seed, 4 * i + 1, 4) for i in range(7)]
         checked = let(
             F.concat(body.substr(F.lit(1), F.length(body) - 1), F.lit("0")),
             lambda zero: F.concat(
@@ -149,9 +190,10 @@ def surrogate(kind: Column, own: Column, attempt: Column, secret: str) -> Column
         )
         return (
             F.when(kind == "email", email)
+            .when((kind == "address") & (longer > 0), F.concat_ws(":", F.lit("fd00"), *groups))
             .when(kind == "address", F.concat_ws(".", *octets))
-            .when(kind == "phone", redrawn(own, seed, F.greatest(F.length(own) - 10, F.lit(0))))
-            .when(kind == "iban", redrawn(own, seed, 2))
+            .when(kind == "phone", redrawn(room, seed, F.greatest(F.length(own) - 10, F.lit(0))))
+            .when(kind == "iban", redrawn(room, seed, 2))
             .when((kind == "card") & (F.pmod(luhn_sum(own), F.lit(10)) == 0), checked)
             .when(kind == "card", body)
             .otherwise(plain)
@@ -169,7 +211,7 @@ def dressed(kind: Column, found: Column, new: Column) -> Column:
             c.rlike("^[0-9A-Za-z]$"),
             F.struct(F.concat(a["out"], F.substring(new, a["next"], F.lit(1))).alias("out"), (a["next"] + 1).alias("next")),
         ).otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["next"].alias("next"))),
-        lambda a: a["out"],
+        lambda a: F.concat(a["out"], new.substr(a["next"], F.length(new))),
     )
     return (
         F.when(kind.isin("phone", "card", "ssn", "iban"), spelled)
@@ -210,13 +252,17 @@ def assign(entities: DataFrame, how: Surrogates) -> DataFrame:
 
     Nor is a surrogate an entity that occurs itself. Of those that clash, the least keeps its
     surrogate, the others draw again, round by round; equal draws meet by a join on the draw.
+    Where the surrogates of an entity's length run short, longer ones are drawn, after ``rounds``
+    at once ones of ample length, so it always ends.
     """
     new = lambda attempt: surrogate(F.col("kind"), F.col("own"), attempt, how.secret)
     entities = stored(entities, "entities")
     drawn = stored(
         entities.withColumn("attempt", F.lit(0)).withColumn("new", new(F.col("attempt"))), "surrogates"
     )
-    for _ in range(how.rounds):
+    following = F.col("attempt") + 1
+    following = F.greatest(following, F.when(following >= how.rounds, SHAPED + AMPLE))
+    while True:
         shared = drawn.groupBy("kind", "new").agg(F.min("own").alias("keeps"), F.count("*").alias("n")).where("n > 1")
         taken = entities.select("kind", F.col("own").alias("new"), F.lit(True).alias("real"))
         losing = (
@@ -229,9 +275,8 @@ def assign(entities: DataFrame, how: Surrogates) -> DataFrame:
             return drawn
         retried = drawn.join(losing, ["kind", "own"], "left")
         kept = retried.where("again IS NULL").drop("again")
-        redone = retried.where("again = 1").select("kind", "own", (F.col("attempt") + 1).alias("attempt"))
+        redone = retried.where("again = 1").select("kind", "own", following.alias("attempt"))
         drawn = stored(kept.unionByName(redone.withColumn("new", new(F.col("attempt")))), "surrogates")
-    raise RuntimeError("surrogates still clash; a kind has fewer surrogates than entities")
 
 
 def replace_entities(docs: DataFrame, how: Surrogates = Surrogates(), text: str = "text") -> DataFrame:

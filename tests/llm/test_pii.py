@@ -68,6 +68,29 @@ def test_clashes_are_resolved(spark):
     assert not {(r.kind, r.new) for r in got} & set(rows)
 
 
+def test_letters_outside_the_alphabets_are_redrawn(spark):
+    names = ["Đỗ", "Ավո", "Ђё", "Ŵŷ", "Ώϊ", "Þß"]
+    docs = documents(spark, [f"so says Mr. {n} today." for n in names])
+    got = {r.doc_id: r.text for r in replace_entities(docs).collect()}
+    for i, n in enumerate(names):
+        new = re.fullmatch(r"so says Mr\. (\w+) today\.", got[3 + 2 * i])[1]
+        assert len(new) == len(n) and new[0].isupper() and new != n, n
+
+
+def test_short_spaces_give_longer_surrogates(spark):
+    rows = [("surname", a + b) for a in "aeiou" for b in "aeiou"] + [("email", "_@a.com"), ("secret", "-" * 12), ("surname", "אב")]
+    got = assign(spark.createDataFrame(rows, "kind string, own string"), Surrogates()).collect()
+    assert {(r.kind, r.own) for r in got} == set(rows)
+    assert len({(r.kind, r.new) for r in got}) == len(rows)
+    assert not {(r.kind, r.new) for r in got} & set(rows)
+
+
+def test_few_rounds_end_too(spark):
+    rows = [("surname", a) for a in "aeiou"]
+    got = assign(spark.createDataFrame(rows, "kind string, own string"), Surrogates(rounds=1)).collect()
+    assert len({r.new for r in got} - set("aeiou")) == 5
+
+
 def test_clashing_surrogates_reach_the_texts(spark):
     names = [f"{a}{b}{c}" for a in "BCDFG" for b in "aeiou" for c in "bcdfghkl"]
     docs = documents(spark, [f"so says Dr {n} today." for n in names])
