@@ -56,31 +56,41 @@ SHAPED = 8
 AMPLE = 32
 _NAMES = "|".join(n for own in GIVEN.values() for n in own)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+#: A name with what belongs to it: O'Brien, McDonald, Smith-Jones, decomposed accents; and initials before it.
+_LOW = r"[\p{Ll}\p{M}]"
+_HEAD = rf"\p{{Lu}}\p{{M}}*(?:['’ʼ]\p{{Lu}})?{_LOW}"
+_NAME = rf"{_HEAD}+(?:[\-‐'’ʼ]?{_HEAD}+)*"
+_INITIALS = r"(?:\p{Lu}[.] ?)?(?:\p{Lu}[.] ?)?"
+#: Phones with a country code in groups, national ones with a leading zero, and ten digits in groups.
+_NATIONAL = r"0\d{1,4}[ .\-]\d{3,4}[ .\-]?\d{3,4}|0\d(?:[ .\-]\d{2}){4}"
+_TEN = r"\d{3}[ .\-]\d{3}[ .\-]\d{4}"
 #: What each type looks like, in order of precedence.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})*\.[A-Za-z]{2,24}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?:sk|pk|ghp|gho|xox[bp])[_\-][A-Za-z0-9_\-]{16,}"
-    r"|(?=[0-9]{0,40}[a-fA-F])(?=[a-fA-F]{0,40}[0-9])[0-9a-fA-F]{24,128}|(?<=[=:] ?[\"'])[A-Za-z0-9_\-+/=]{12,})(?![A-Za-z0-9])",
+    r"|(?=[0-9]*+[a-fA-F])(?=[a-fA-F]*+[0-9])[0-9a-fA-F]{24,}+"
+    r"|(?<=[=:] ?[\"'])(?=[A-Za-z_\-+/=]*+[0-9])(?=[0-9_\-+/=]*+[A-Za-z])[A-Za-z0-9_\-+/=]{12,}+)(?![A-Za-z0-9])",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?\(?\d{2,4}\)?[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}"
-    r"|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
+    r"|\+\d{1,3}[ .\-]?(?:\(0\)[ .\-]?)?\d{1,4}(?:[ .\-]\d{2,4}){2,5}"
+    rf"|(?<!\d[ .\-])(?:{_TEN}|{_NATIONAL})(?![ .\-]\d{{4}}))(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d.])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5}|\d{13,19})(?![\d.]\d|\d)",
     "address": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
-    "given": rf"(?=\p{{Lu}}\p{{Ll}})(?<!\p{{L}})(?:{_NAMES})(?= \p{{Lu}}\p{{Ll}})",
-    "surname": rf"(?=\p{{Lu}}\p{{Ll}})(?<=(?<!\p{{L}})(?:{_NAMES}|{'|'.join(TITLES)})[.]? )\p{{Lu}}\p{{Ll}}+",
+    "given": rf"(?=\p{{Lu}}\p{{Ll}})(?<!\p{{L}})(?:{_NAMES})(?= {_INITIALS}{_HEAD})",
+    "surname": rf"(?={_HEAD})(?<=(?<!\p{{L}})(?:{_NAMES}|{'|'.join(TITLES)})[.]? {_INITIALS}){_NAME}",
 }
 ANY = "|".join(PATTERNS.values())
 #: What tells the type of a match; anything else that is matched is a surname.
 TELLS = {
     "email": "@",
     "address": rf"^{_OCTET}(?:\.{_OCTET}){{3}}$",
-    "phone": r"^(?:\+|\()|^\d{3}[.\-]\d{3}[.\-]\d{4}$",
+    "phone": rf"^(?:\+|\()|^(?:{_TEN}|{_NATIONAL})$",
     "ssn": r"^\d{3}-\d{2}-\d{4}$",
     "card": r"^[\d \-]+$",
     "iban": r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3}",
     "given": rf"^(?:{_NAMES})$",
-    "surname": r"^\p{Lu}\p{Ll}+$",
+    "surname": rf"^{_NAME}$",
 }
 
 
@@ -108,7 +118,8 @@ def canonical(kind: Column, found: Column) -> Column:
     return (
         F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(found, "[^0-9]", ""))
         .when(kind == "iban", F.regexp_replace(found, " ", ""))
-        .when(kind.isin("email", "surname"), F.lower(found))
+        .when(kind == "email", F.lower(found))
+        .when(kind == "surname", F.translate(F.lower(found), "’ʼ‐", "''-"))
         .otherwise(found)
     )
 
@@ -213,9 +224,14 @@ def dressed(kind: Column, found: Column, new: Column) -> Column:
         ).otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["next"].alias("next"))),
         lambda a: F.concat(a["out"], new.substr(a["next"], F.length(new))),
     )
+    def cased(char: Column, place: Column) -> Column:
+        own = F.substring(found, place + 1, F.lit(1))
+        marks = char.isin("'", "-") & own.isin("’", "ʼ", "‐")
+        return F.when(marks, own).when(own.rlike(r"^\p{Lu}"), F.upper(char)).otherwise(char)
+
     return (
         F.when(kind.isin("phone", "card", "ssn", "iban"), spelled)
-        .when(kind == "surname", F.concat(F.upper(F.substring(new, 1, 1)), F.substring(new, 2, 200)))
+        .when(kind == "surname", F.array_join(F.transform(F.split(new, ""), cased), ""))
         .otherwise(new)
     )
 

@@ -59,6 +59,28 @@ def test_names_keep_gender_script_and_surname(spark):
     assert got[7] == texts[2]
 
 
+def test_whole_entities_are_found(spark):
+    whole = [
+        "Mr. McDonald", "Dr. Smith-Jones", "Mr. O'Brien", "Mr. O’Brien", "John F. Kennedy", "Frau Mu\u0308ller", "+33 6 12 34 56 78",
+        "020 7946 0958", "123 456 7890", "+44 (0)20 7946 0958", "01 23 45 67 89", "a1" * 100, "key='abcdef123456'",
+    ]
+    kept = ['title: "Introduction"', 'class="navbar-default"', "x = '------------'", "in 2019 1234 567 8901", "0.123 456", "Smith-Jones"]
+    docs = documents(spark, [f"see {w}, please." for w in whole + kept])
+    got = {r.doc_id: r for r in replace_entities(docs).collect()}
+    shape = lambda s: re.sub("[0-9]", "9", re.sub("[^\\W0-9_]", "a", s))
+    new = {w: got[3 + 2 * i].text[4:-9] for i, w in enumerate(whole + kept)}
+    for w in whole:
+        if w != "John F. Kennedy":
+            head = w.split(" ")[0] if w[0] in "MDF" else ""
+            assert shape(new[w]) == shape(w) and new[w].startswith(head) and new[w] != w, w
+    assert re.fullmatch(r"\w+ F\. [A-Z]\w{6}", new["John F. Kennedy"]) and "Kennedy" not in new["John F. Kennedy"]
+    assert re.fullmatch(r"Mr\. [A-Z]\w[A-Z]\w{5}", new["Mr. McDonald"]) and "onald" not in new["Mr. McDonald"]
+    assert re.fullmatch(r"Dr\. [A-Z]\w{4}-[A-Z]\w{4}", new["Dr. Smith-Jones"]) and "Jones" not in new["Dr. Smith-Jones"]
+    assert new["Mr. O'Brien"].replace("'", "’") == new["Mr. O’Brien"]
+    for w in kept:
+        assert new[w] == w and got[3 + 2 * (len(whole) + kept.index(w))].n_entities == 0, w
+
+
 def test_clashes_are_resolved(spark):
     rows = [("surname", a + b) for a in "aeiou" for b in "bcdfg"] + [("ssn", f"{i:02d}") for i in range(15)]
     entities = spark.createDataFrame(rows, "kind string, own string")
