@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from backframe.llm import chat
 from backframe.llm.common import table
 from backframe.llm.decontaminate import decontaminate
+from backframe.llm.ngram_lm import score_documents
 from backframe.llm.packing import pack
 from backframe.llm.pii import replace_entities
 from backframe.llm.quality import judge
@@ -104,3 +105,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(substring_dedup(table(spark, sf_dir, "documents")), "n_words").drop("n_spans")
+
+
+@query
+def op11_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents")).select("doc_id", "lm.*")
