@@ -1,8 +1,8 @@
 """SQL that checks the queries which SQL can express.
 
 No SQL for personal data (keyed digests of characters), chats, packing and token counts (token ids),
-SimHash (XXH64) and the pipeline: tests hold these against brute force. Nor for sharding, whose
-checksum (CRC-32) SQL lacks.
+SimHash (XXH64) and the pipeline: tests hold these against brute force. Nor for sharding, language-model
+scores and periodic runs, whose checksum (CRC-32) SQL lacks.
 """
 
 from __future__ import annotations
@@ -105,9 +105,38 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+PHRASES = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+piece AS (SELECT row_number() OVER () AS r, lang, regexp_extract_all(p, '[^\x20\x09]+') AS words
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d WHERE t IS NOT NULL)),
+total AS (SELECT lang, sum(len(words))::BIGINT AS n FROM piece GROUP BY lang),
+place AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM piece),
+f AS (SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS w, count(*) AS f
+  FROM place CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS size) WHERE i + size - 1 <= len(words)
+  GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, size, w AS phrase, f AS a, string_split(w, ' ') AS ws FROM f WHERE size > 1),
+cut AS (SELECT lang, phrase, size, a, ws, unnest(range(1, size)) AS k FROM c),
+scored AS (SELECT cut.lang, phrase, cut.size, a, k, x.f AS l, y.f AS r,
+    (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.w = array_to_string(ws[:k], ' ')
+  JOIN f y ON y.lang = cut.lang AND y.w = array_to_string(ws[k + 1:], ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+part AS (SELECT lang, a, array_to_string(ws[i:i + n - 1], ' ') AS phrase
+  FROM c CROSS JOIN (SELECT unnest([1, 2, 3]) AS i) CROSS JOIN (SELECT unnest([2, 3]) AS n)
+  WHERE n < size AND i + n - 1 <= size),
+around AS (SELECT lang, phrase, max(a) AS most FROM part GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+  phrase, a, l, r, total.n, score
+FROM weakest LEFT JOIN around USING (lang, phrase) JOIN total USING (lang)
+WHERE most IS NULL OR 100 * most < 80 * a
+QUALIFY rank <= 2000
+"""
+
 CHECK_SQL: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op2_decontamination": DECONTAMINATION,
     "op6_suffix_array_dedup": SUFFIXES,
     "op10_substring_dedup": SUBSTRINGS,
+    "op13_phrase_collocations": PHRASES,
 }

@@ -13,8 +13,10 @@ from backframe.llm.common import table
 from backframe.llm.decontaminate import decontaminate
 from backframe.llm.ngram_lm import score_documents
 from backframe.llm.packing import pack
+from backframe.llm.phrases import collocations
 from backframe.llm.pii import replace_entities
 from backframe.llm.quality import judge
+from backframe.llm.runs import periodic_runs, with_planted_runs
 from backframe.llm.sharding import shard_documents
 from backframe.llm.simhash import near_duplicates
 from backframe.llm.substrings import substring_dedup
@@ -110,3 +112,27 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents")).select("doc_id", "lm.*")
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents"))
+    found = periodic_runs(docs).select("doc_id", "periodic.*")
+    runs = F.col("runs")
+    told = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(told, lambda r: F.concat(r, F.lit("\n"))), "")
+    order = lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))
+    best = F.array_max(F.transform(runs, order))["run"]
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
