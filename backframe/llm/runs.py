@@ -15,10 +15,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from backframe.llm.common import fresh_name, let, let_go, python_ready, settled, without, words_of
 
@@ -27,7 +27,14 @@ LEAST = 12
 #: Words that are searched side by side.
 LOT_WORDS = 1 << 18
 
-RUNS = "array<struct<start: long, length: long, period: long>>"
+RUNS = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("start", "length", "period")]))
+ARROW = pa.struct(
+    [
+        ("n_words", pa.int64()),
+        ("runs", pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "length", "period")]))),
+        ("collapsed", pa.string()),
+    ]
+)
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -165,7 +172,7 @@ def told_batch(texts: list[str | None], least: int) -> Iterator[tuple[int, list[
         yield from zip((len(t) for t in lot), *zip(*told_lot(lot, least), strict=True), strict=True)
 
 
-def periodic_runs(docs: DataFrame, text: str | Column = "text", least: int = LEAST) -> DataFrame:
+def periodic_runs(docs: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame:
     """The documents with a struct ``periodic``: n_words, runs, collapsed.
 
     ``runs`` are the maximal stretches of at least ``least`` words and two periods, each with its
@@ -175,24 +182,28 @@ def periodic_runs(docs: DataFrame, text: str | Column = "text", least: int = LEA
     input is replaced, others stay. A text is searched in one task, in memory in proportion to it.
     """
     python_ready(docs.sparkSession)
-    body = F.col(f"`{text}`") if isinstance(text, str) else text
-
-    @F.pandas_udf(f"n_words long, runs {RUNS}, collapsed binary")
-    def told(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            rows = told_batch([t if isinstance(t, str) else None for t in texts], least)
-            out = [(n, [dict(zip(("start", "length", "period"), r, strict=True)) for r in runs], kept) for n, runs, kept in rows]
-            yield pd.DataFrame(out, columns=["n_words", "runs", "collapsed"])
+    own = without(docs, ["periodic"])
+    kind = T.StructType(
+        [T.StructField("n_words", T.LongType()), T.StructField("runs", RUNS), T.StructField("collapsed", T.StringType())]
+    )
+    schema = T.StructType([*own.schema.fields, T.StructField("periodic", kind)])
+    place = [c.lower() for c in own.columns].index(text.lower())
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                {
+                    "n_words": n,
+                    "runs": [dict(zip(("start", "length", "period"), r, strict=True)) for r in runs],
+                    "collapsed": kept.decode("utf-8", "surrogatepass"),
+                }
+                for n, runs, kept in told_batch(batch.column(place).to_pylist(), least)
+            ]
+            columns = [*batch.columns, pa.array(rows, ARROW)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "periodic"])
         let_go()
 
-    inner = fresh_name(docs, "found_runs")
-    found = docs.withColumn(inner, told(body))
-    fields = F.struct(
-        F.col(inner)["n_words"].alias("n_words"),
-        F.col(inner)["runs"].alias("runs"),
-        F.col(inner)["collapsed"].cast("string").alias("collapsed"),
-    )
-    return without(found, ["periodic"]).withColumn("periodic", fields).drop(inner)
+    return own.mapInArrow(told, schema)
 
 
 def with_planted_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
