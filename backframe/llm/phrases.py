@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from backframe.llm.common import let_go, python_ready
-from backframe.llm.hash_store import look_up, write_shard
+from backframe.llm.hash_store import look_up, packed, shard_of, unpacked, write_shard
 from backframe.session import scratch_path, stored
 
 LEAST = 30
@@ -36,6 +36,9 @@ TOP = 2000
 #: Phrases that one trie may hold, and words of a stored block.
 TRIE_NODES = 2_000_000
 BLOCK_WORDS = 1 << 21
+#: Characters of text that are split into words at once, keys that a task keeps before it sends them.
+LOT_CHARS = 6_000_000
+KEPT_KEYS = 1 << 22
 #: Fixed value: the seed of Spark's own XXH64.
 SEED = 42
 NO_LANG = "und"
@@ -63,9 +66,15 @@ def coded(texts: list[str | None]) -> tuple[list[bytes], np.ndarray]:
 
 
 def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[str | None]]]:
+    """Texts of one language, of about ``LOT_CHARS`` together."""
     of: dict[str, list[str | None]] = {}
+    sizes: dict[str, int] = {}
     for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
         of.setdefault(lang, []).append(text)
+        sizes[lang] = sizes.get(lang, 0) + len(text or "")
+        if sizes[lang] > LOT_CHARS:
+            yield lang, of.pop(lang)
+            sizes[lang] = 0
     yield from of.items()
 
 
@@ -122,7 +131,7 @@ def as_numbers(docs: DataFrame, folder: str, shards: int) -> DataFrame:
         kept: list[np.ndarray] = []
 
         def block() -> pa.RecordBatch:
-            body = np.concatenate(kept).astype("<i4").tobytes()
+            body = np.concatenate(kept).tobytes()
             kept.clear()
             return pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], names=["ids"])
 
@@ -136,7 +145,7 @@ def as_numbers(docs: DataFrame, folder: str, shards: int) -> DataFrame:
                 ids = np.empty(len(words), np.int64)
                 ids[order] = np.where(found, told["id"], RARE)
                 ids[[k for k, w in enumerate(words) if w == b"."]] = MARK
-                kept.append(ids[places])
+                kept.append(ids.astype(np.int32)[places])
             if sum(map(len, kept)) > BLOCK_WORDS:
                 yield block()
         if kept:
@@ -149,20 +158,35 @@ def as_numbers(docs: DataFrame, folder: str, shards: int) -> DataFrame:
 class Trie(NamedTuple):
     """A double array: from state s, word w leads to t = base[s] + w if check[t] is s.
 
-    The states of single words are their numbers. ``words`` has the words of each state's phrase.
+    The states of single words are their numbers, 0 to ``n_words``.
     """
 
     base: np.ndarray
     check: np.ndarray
-    words: np.ndarray
+    n_words: int
 
 
 def no_phrases(n_words: int) -> Trie:
     """Single words alone; one that no text has, if there are none."""
     states = max(n_words, 1)
-    words = np.full((states, LONGEST), -1, np.int32)
-    words[:, 0] = np.arange(states)
-    return Trie(np.zeros(states, np.int64), np.full(states, -1, np.int32), words)
+    return Trie(np.zeros(states, np.int32), np.full(states, -1, np.int32), states)
+
+
+def wider(trie: Trie, more: int) -> Trie:
+    pad = lambda a, fill: np.concatenate([a, np.full(more, fill, a.dtype)])
+    return Trie(pad(trie.base, 0), pad(trie.check, -1), trie.n_words)
+
+
+def phrase_of(trie: Trie, states: np.ndarray, longest: int) -> list[np.ndarray]:
+    """The words on the way to each state: rows of ``longest`` numbers, -1 before the first."""
+    out = []
+    for _ in range(longest):
+        single = states < trie.n_words
+        parents = np.where(single, -1, trie.check[states])
+        words = np.where(single, states, states - trie.base[parents])
+        out.append(np.where(states >= 0, words, -1))
+        states = np.where(states >= 0, parents, -1)
+    return out[::-1]
 
 
 def grown(trie: Trie, parents: np.ndarray, words: np.ndarray, level: int) -> Trie:
@@ -175,13 +199,9 @@ def grown(trie: Trie, parents: np.ndarray, words: np.ndarray, level: int) -> Tri
     parents, words = parents[order], words[order]
     starts = np.flatnonzero(np.concatenate([[True], parents[1:] != parents[:-1]])) if len(parents) else np.array([], int)
     sizes = np.diff(np.append(starts, len(parents)))
-    n_words = int(trie.words[:, 0].max(initial=-1)) + 1
-    room = len(trie.check) + 3 * len(parents) + 2 * n_words + 16
-    base, check, names = (
-        np.concatenate([a, np.full((room - len(a), *a.shape[1:]), f, a.dtype)])
-        for a, f in zip(trie, (0, -1, -1), strict=True)
-    )
-    used = check >= 0
+    n_words, old = trie.n_words, len(trie.check)
+    trie = wider(trie, len(parents) + len(parents) // 2 + n_words + 16)
+    used = trie.check >= 0
     used[:n_words] = True
     draw = np.random.default_rng(level)
     slots = np.empty(len(parents), np.int64)
@@ -189,33 +209,21 @@ def grown(trie: Trie, parents: np.ndarray, words: np.ndarray, level: int) -> Tri
         if sizes[k] < 2:
             break
         own = words[starts[k] : starts[k] + sizes[k]]
-        span = room - int(own[-1])
-        while True:
-            for at in draw.integers(n_words - int(own[0]), span, 64):
-                if not used[own + at].any():
-                    break
-            else:
-                more = len(used)
-                base, check, names = (
-                    np.concatenate([a, np.full((more, *a.shape[1:]), f, a.dtype)])
-                    for a, f in zip((base, check, names), (0, -1, -1), strict=True)
-                )
-                used = np.concatenate([used, np.zeros(more, bool)])
-                room += more
-                span = room - int(own[-1])
-                continue
-            break
-        slots[starts[k] : starts[k] + sizes[k]] = own + at
-        used[own + at] = True
+        fits = None
+        while fits is None:
+            tried = draw.integers(n_words - own[0], len(used) - own[-1], 64)
+            fits = next((int(at) for at in tried if not used[own + at].any()), None)
+            if fits is None:
+                trie = wider(trie, len(used) // 4)
+                used = np.concatenate([used, np.zeros(len(trie.check) - len(used), bool)])
+        slots[starts[k] : starts[k] + sizes[k]] = own + fits
+        used[own + fits] = True
     single = starts[sizes == 1]
-    free = np.flatnonzero(~used)[: len(single)]
-    slots[single] = free
-    check[slots] = parents
-    base[parents] = slots - words
-    names[slots] = names[parents]
-    names[slots, level - 1] = words
-    end = max(int(slots.max(initial=-1)) + 1, len(trie.check))
-    return Trie(base[:end], check[:end], names[:end])
+    slots[single] = np.flatnonzero(~used)[: len(single)]
+    trie.check[slots] = parents
+    trie.base[parents] = slots - words
+    end = max(int(slots.max(initial=-1)) + 1, old)
+    return Trie(trie.base[:end].copy(), trie.check[:end].copy(), n_words)
 
 
 def advanced(trie: Trie, states: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -241,15 +249,51 @@ def walk(trie: Trie, ids: np.ndarray, level: int, part: int, parts: int) -> Iter
         yield states
 
 
+KEYS = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+
+
 def counted_batch(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], schema=KEYS)
+
 
+def together(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and their counts added up."""
+    keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.array([], int)
+    return keys[starts], np.add.reduceat(n[order], starts) if len(keys) else n
 
-def extensions(blocks: DataFrame, sent, level: int, part: int, parts: int, least: int) -> DataFrame:
+
+def sent(keys: np.ndarray, n: np.ndarray, shards: int) -> pa.RecordBatch:
+    """A row (shard, blob) for each shard that owns some of the sorted keys."""
+    owner = shard_of(keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), shards)
+    order = np.argsort(owner, kind="stable")
+    edges = np.searchsorted(owner[order], np.arange(shards + 1))
+    own = [order[edges[k] : edges[k + 1]] for k in range(shards)]
+    blobs = [packed(np.diff(keys[o], prepend=0).astype(np.uint64), n[o].astype(np.uint64)) for o in own if len(o)]
+    places = [k for k, o in enumerate(own) if len(o)]
+    return pa.RecordBatch.from_pydict({"shard": places, "blob": blobs}, pa.schema([("shard", pa.int32()), ("blob", pa.binary())]))
+
+
+def added_up(parts: DataFrame, least: int) -> DataFrame:
+    """(key, n) of the keys that occur often enough in all blobs of their shard together."""
+
+    def add(table: pa.Table) -> pa.Table:
+        own = [unpacked(b) for b in table.column("blob").to_pylist()]
+        keys, n = together([(np.cumsum(k).astype(np.int64), c.astype(np.int64)) for k, c in own])
+        often = n >= least
+        return pa.Table.from_batches([counted_batch(keys[often], n[often])])
+
+    return parts.groupBy("shard").applyInArrow(add, "key long, n long")
+
+
+def extensions(blocks: DataFrame, known, level: int, part: int, parts: int, least: int, shards: int) -> DataFrame:
     """(key, n): state of a phrase of ``level - 1`` words << 32 | next word, often enough."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = sent.value
+        trie = known.value
+        kept: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for ids in batch.column(0):
                 own = np.frombuffer(ids.as_py(), "<i4").astype(np.int64)
@@ -259,18 +303,22 @@ def extensions(blocks: DataFrame, sent, level: int, part: int, parts: int, least
                 safe = (states >= 0) & (word >= 0)
                 if parts == 1 and level > 2:  # the trie tells of the phrase without its first word too
                     safe &= shifted(states, 1) >= 0
-                yield counted_batch(*np.unique(states[safe] << 32 | word[safe], return_counts=True))
+                kept.append(np.unique(states[safe] << 32 | word[safe], return_counts=True))
+                if sum(len(k) for k, _ in kept) > KEPT_KEYS:
+                    yield sent(*together(kept), shards)
+                    kept.clear()
+        if kept:
+            yield sent(*together(kept), shards)
         let_go()
 
-    made = blocks.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return made.where(F.col("n") >= least)
+    return added_up(blocks.mapInArrow(count, "shard int, blob binary"), least)
 
 
-def accepted(blocks: DataFrame, sent, longest: int, part: int, parts: int) -> DataFrame:
+def accepted(blocks: DataFrame, known, longest: int, part: int, parts: int, shards: int) -> DataFrame:
     """(key, n): how often each state of two and more words is reached."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = sent.value
+        trie = known.value
         total = np.zeros(len(trie.check), np.int64)
         for batch in batches:
             for ids in batch.column(0):
@@ -279,12 +327,11 @@ def accepted(blocks: DataFrame, sent, longest: int, part: int, parts: int) -> Da
                     if k:
                         total += np.bincount(states[states >= 0], minlength=len(total))
         reached = np.flatnonzero(total)
-        for a in range(0, len(reached), 1 << 18):
-            some = reached[a : a + (1 << 18)]
-            yield counted_batch(some, total[some])
+        if len(reached):
+            yield sent(reached, total[reached], shards)
         let_go()
 
-    return blocks.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return added_up(blocks.mapInArrow(count, "shard int, blob binary"), 1)
 
 
 def pulled(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -293,27 +340,31 @@ def pulled(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tuple(table.column(c).to_numpy().astype(np.int64) for c in ("key", "n"))
 
 
-def frequent_phrases(blocks: DataFrame, n_words: int, least: int, longest: int, nodes: int) -> DataFrame:
+def frequent_phrases(blocks: DataFrame, n_words: int, least: int, longest: int, nodes: int, shards: int) -> DataFrame:
     """(ids, n) of the phrases of two and more words, by the numbers of their words."""
     spark = blocks.sparkSession
     bare = no_phrases(n_words)
-    pairs = stored(extensions(blocks, spark.sparkContext.broadcast(bare), 2, 0, 1, least), "pairs")
+    known = spark.sparkContext.broadcast(bare)
+    pairs = stored(extensions(blocks, known, 2, 0, 1, least, shards), "pairs")
+    known.destroy()
     parts = max(1, math.ceil(pairs.count() * (longest - 1) / nodes))
     made = None
     for part in range(parts):
         found, _ = pulled(pairs.where(F.pmod(F.shiftright("key", 32), F.lit(parts)) == part))
         trie = grown(bare, found >> 32, found & 0xFFFFFFFF, 2)
         for level in range(3, longest + 1):
-            sent = spark.sparkContext.broadcast(trie)
-            found, _ = pulled(extensions(blocks, sent, level, part, parts, least))
+            known = spark.sparkContext.broadcast(trie)
+            found, _ = pulled(extensions(blocks, known, level, part, parts, least, shards))
             trie = grown(trie, found >> 32, found & 0xFFFFFFFF, level)
-        slots, n = pulled(accepted(blocks, spark.sparkContext.broadcast(trie), longest, part, parts))
-        words = trie.words[slots]
-        lists = pa.ListArray.from_arrays(
-            np.concatenate([[0], np.cumsum((words >= 0).sum(axis=1))]).astype(np.int32), pa.array(words[words >= 0], pa.int32())
-        )
-        told = stored(spark.createDataFrame(pa.table({"ids": lists, "n": pa.array(n, pa.int64())})), "phrases")
-        made = told if made is None else made.unionAll(told)
+            known.destroy()
+        known = spark.sparkContext.broadcast(trie)
+        slots, n = pulled(accepted(blocks, known, longest, part, parts, shards))
+        known.destroy()
+        columns = {f"w{k}": pa.array(w, pa.int32()) for k, w in enumerate(phrase_of(trie, slots, longest))}
+        told = spark.createDataFrame(pa.table(columns | {"n": pa.array(n, pa.int64())}))
+        ids = F.filter(F.array(*columns), lambda w: w >= 0).alias("ids")
+        own = stored(told.select(ids, "n"), "phrases")
+        made = own if made is None else made.unionAll(own)
     return made
 
 
@@ -343,7 +394,8 @@ def collocations(
     folder = scratch_path(spark, "word-numbers")
     words, n_words = numbered(counts.where(F.col("n") >= least), folder, shards)
     blocks = stored(as_numbers(own, folder, shards), "blocks")
-    phrases = frequent_phrases(blocks, n_words, least, longest, nodes)
+    size = counts.agg(F.sum("n")).first()[0] or 0
+    phrases = frequent_phrases(blocks, n_words, least, longest, nodes, max(shards, -(-size // BLOCK_WORDS)))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked(phrases, words, totals, longest, share, top)
 
