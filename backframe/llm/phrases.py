@@ -33,12 +33,13 @@ LONGEST = 4
 #: A shorter phrase goes if a longer one around it has this many per cent of its occurrences.
 SHARE = 80
 TOP = 2000
-#: Phrases that one trie may hold, and words of a stored block.
+#: Phrases that one trie may hold, words of a stored block, and words whose phrases one shard adds up.
 TRIE_NODES = 2_000_000
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 19
+SHARD_WORDS = 1 << 21
 #: Characters of text that are split into words at once, keys that a task keeps before it sends them.
-LOT_CHARS = 6_000_000
-KEPT_KEYS = 1 << 22
+LOT_CHARS = 4_000_000
+KEPT_KEYS = 1 << 21
 #: Fixed value: the seed of Spark's own XXH64.
 SEED = 42
 NO_LANG = "und"
@@ -146,8 +147,8 @@ def as_numbers(docs: DataFrame, folder: str, shards: int) -> DataFrame:
                 ids[order] = np.where(found, told["id"], RARE)
                 ids[[k for k, w in enumerate(words) if w == b"."]] = MARK
                 kept.append(ids.astype(np.int32)[places])
-            if sum(map(len, kept)) > BLOCK_WORDS:
-                yield block()
+                if sum(map(len, kept)) > BLOCK_WORDS:
+                    yield block()
         if kept:
             yield block()
         let_go()
@@ -395,7 +396,7 @@ def collocations(
     words, n_words = numbered(counts.where(F.col("n") >= least), folder, shards)
     blocks = stored(as_numbers(own, folder, shards), "blocks")
     size = counts.agg(F.sum("n")).first()[0] or 0
-    phrases = frequent_phrases(blocks, n_words, least, longest, nodes, max(shards, -(-size // BLOCK_WORDS)))
+    phrases = frequent_phrases(blocks, n_words, least, longest, nodes, max(shards, -(-size // SHARD_WORDS)))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked(phrases, words, totals, longest, share, top)
 
