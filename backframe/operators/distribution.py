@@ -1,24 +1,17 @@
-"""Distributions and trends: histograms, density curves, quantiles, OLS and LOWESS.
-
-Values are reduced to bucket sums before anything else happens: per column (and class) at
-most ``resolution`` buckets, each standing for the mean of the values in it. A column whose
-distinct values all fall into buckets of their own is thereby kept exactly; curves are drawn
-from these bounded summaries.
-"""
+"""Distributions and trends: histograms, density curves, quantiles and OLS."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from backframe.functions.expressions import clean_double, pick
-from backframe.operators.bins import overview, with_bins, with_fine_bin
-from backframe.session import ship_package
+from backframe.operators.ranks import FAN, FEW, values_at_ranks
+from backframe.session import stored
+
 
 def _long(df: DataFrame, columns: Sequence[str], keep: Sequence[Column]) -> DataFrame:
     """(…keep, i, v) for every value present."""
@@ -51,19 +44,6 @@ def class_histogram(
     )
 
 
-def _bucketed(
-    df: DataFrame, columns: Sequence[str], keep: Sequence[Column], resolution: int
-) -> DataFrame:
-    """(…keep, i, v, bucket) for every value present."""
-    ranges = overview(df, columns, resolution).ranges
-    table = F.array(*[F.struct(F.lit(r.lo).alias("lo"), F.lit(r.step).alias("step"))
-                      for r in ranges])
-    r = F.get(table, F.col("i"))
-    return with_fine_bin(
-        _long(df, columns, keep), "v", r["lo"], r["step"], resolution, "bucket"
-    )
-
-
 def class_kde(
     df: DataFrame,
     columns: Sequence[str],
@@ -123,56 +103,33 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: str | None = None,
-    resolution: int = 2048,
+    fan: int = FAN,
+    few: int = FEW,
 ) -> DataFrame:
     """(name, class, p, value): exact quantiles with linear interpolation, by class or overall.
 
-    Bucket counts locate the buckets that hold the wanted ranks; only the values of those
-    buckets are counted one by one. No task sorts a whole column or keeps its distinct values.
+    Buckets that hold wanted ranks are refined, for all columns and classes at once, until they
+    hold a few values; no task sorts a column or keeps its distinct values, and a value far out
+    makes no bucket hold the rest for long.
     """
     keep = [F.lit("all").alias("class") if by is None else _class(by)]
-    rows = _bucketed(df, columns, keep, resolution).where(F.col("class").isNotNull())
-    in_class = Window.partitionBy("i", "class")
-    counted = (
-        rows.groupBy("i", "class", "bucket")
-        .agg(F.count("v").alias("n"))
-        .withColumn("upto", F.sum("n").over(in_class.orderBy("bucket")))
-        .withColumn("total", F.sum("n").over(in_class))
-    )
+    rows = _long(df, columns, keep).where(F.col("class").isNotNull()).withColumn("n", F.lit(1).cast("long"))
+    totals = rows.groupBy("i", "class").agg(F.sum("n").alias("total"))
     rank = F.col("p") * (F.col("total") - 1).cast("double")
-    wanted = (
-        counted.select(
-            "*", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
-        )
-        .select("*", F.floor(rank).alias("low"), (rank - F.floor(rank)).alias("part"))
-        .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
-        .withColumn("k", F.least(F.col("low") + F.col("step"), F.col("total") - 1))
-        .where((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n")))
-        .select(
-            "i", "class", "bucket", "p", "part", "step",
-            (F.col("k") - (F.col("upto") - F.col("n"))).alias("k"),
-        )
-    )
-    holders = wanted.select("i", "class", "bucket").distinct()
-    in_bucket = Window.partitionBy("i", "class", "bucket").orderBy("v")
-    values = (
-        rows.join(holders, ["i", "class", "bucket"])
-        .groupBy("i", "class", "bucket", "v")
-        .agg(F.count(F.lit(1)).alias("m"))
-        .withColumn("upto", F.sum("m").over(in_bucket))
+    places = stored(
+        totals.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")).select(
+            "i", "class", "p", F.floor(rank).alias("low"), (rank - F.floor(rank)).alias("part"),
+            F.least(F.floor(rank) + 1, F.col("total") - 1).alias("high"),
+        ),
+        "places",
     )
-    found = values.join(wanted, ["i", "class", "bucket"]).where(
-        (F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("m"))
-    )
-    low = F.max(F.when(F.col("step") == 0, F.col("v")))
-    high = F.max(F.when(F.col("step") == 1, F.col("v")))
-    return found.groupBy("i", "class", "p", "part").agg(
-        low.alias("low"), high.alias("high")
-    ).select(
-        pick(list(columns), "i").alias("name"),
-        "class",
-        "p",
-        (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("value"),
+    keys = ["i", "class"]
+    wanted = places.select(*keys, F.explode(F.array("low", "high")).alias("k")).distinct()
+    found = values_at_ranks(rows, keys, wanted, fan, few)
+    at = lambda name: found.select(*keys, F.col("k").alias(name), F.col("v").alias(f"{name}_v"))
+    between = F.col("low_v") + (F.col("high_v") - F.col("low_v")) * F.col("part")
+    return places.join(at("low"), [*keys, "low"]).join(at("high"), [*keys, "high"]).select(
+        pick(list(columns), "i").alias("name"), "class", "p", between.alias("value")
     )
 
 
@@ -223,93 +180,6 @@ def ols_trend(df: DataFrame, columns: Sequence[str], response: str) -> DataFrame
     )
 
 
-def _lowess_curve(
-    x: np.ndarray, y: np.ndarray, n: np.ndarray, share: float, rounds: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Local linear fits at the distinct x of counted points, with bisquare reweighting."""
-    at, where = np.unique(x, return_inverse=True)
-    distance = np.abs(at[:, None] - x[None, :])
-    order = np.argsort(distance, axis=1, kind="stable")
-    reached = np.cumsum(n[order], axis=1) >= max(int(share * n.sum() + 1e-10), 2)
-    nearest = np.take_along_axis(distance, order, axis=1)
-    reach = nearest[np.arange(len(at)), reached.argmax(axis=1)]
-    reach = np.where(reach > 0, reach, 1.0)
-    kernel = np.clip(1.0 - (distance / reach[:, None]) ** 3, 0.0, None) ** 3 * n[None, :]
-    trust = np.ones_like(y)
-    fit = np.zeros_like(at)
-    for turn in range(rounds + 1):
-        w = kernel * trust[None, :]
-        total = w.sum(axis=1)
-        total = np.where(total > 0, total, np.nan)
-        x_mean = (w @ x) / total
-        y_mean = (w @ y) / total
-        off = x[None, :] - x_mean[:, None]
-        spread = (w * off**2).sum(axis=1)
-        level = spread > 1e-12 * total * max(np.ptp(at), 1e-300) ** 2
-        slope = np.where(level, (w * off * y[None, :]).sum(axis=1) / np.where(level, spread, 1.0), 0.0)
-        fit = y_mean + slope * (at - x_mean)
-        if turn == rounds:
-            break
-        residual = np.abs(y - fit[where])
-        ranked = np.argsort(residual, kind="stable")
-        counts = np.cumsum(n[ranked])
-        half = (counts[-1] - 1) / 2.0
-        middle = [residual[ranked][np.searchsorted(counts, k, side="right")]
-                  for k in (math.floor(half), math.ceil(half))]
-        scale = 6.0 * float(np.mean(middle))
-        if scale <= 0:
-            break
-        trust = np.where(residual < scale, (1.0 - (residual / scale) ** 2) ** 2, 0.0)
-    return at, fit
-
-
-def lowess_trend(
-    df: DataFrame,
-    columns: Sequence[str],
-    response: str,
-    share: float = 2 / 3,
-    rounds: int = 3,
-    resolution: int = 200,
-    response_resolution: int = 50,
-) -> DataFrame:
-    """(name, x, fit): locally weighted linear trend of the response per predictor.
-
-    Spark reduces the rows to counted points, at most ``resolution * response_resolution`` per
-    predictor; each predictor's curve is then fitted on its points alone. A two-valued
-    response loses nothing by this.
-    """
-    levelled = with_bins(
-        df.select(*columns, clean_double(response).alias("y")), ["y"], response_resolution
-    )
-    points = (
-        _bucketed(levelled, columns, [F.col("y"), F.col("y_bin")], resolution)
-        .where(F.col("y").isNotNull())
-        .groupBy("i", "bucket", "y_bin")
-        .agg(
-            F.count("v").alias("n"), F.sum("v").alias("sx"), F.avg("y").alias("y"),
-            F.min("v").alias("lo"), F.max("v").alias("hi"),
-        )
-    )
-    same_x = Window.partitionBy("i", "bucket")
-    lo, hi = F.min("lo").over(same_x), F.max("hi").over(same_x)
-    mean_x = F.sum("sx").over(same_x) / F.sum("n").over(same_x)
-    points = points.withColumn("x", F.when(lo == hi, lo).otherwise(mean_x))
-
-    ship_package(df.sparkSession)
-
-    def curve(group: pd.DataFrame) -> pd.DataFrame:
-        at, fit = _lowess_curve(
-            group["x"].to_numpy(), group["y"].to_numpy(), group["n"].to_numpy(float),
-            share, rounds,
-        )
-        return pd.DataFrame({"i": group["i"].iloc[0], "x": at, "fit": fit})
-
-    fitted = points.select("i", "x", "y", "n").groupBy("i").applyInPandas(
-        curve, "i int, x double, fit double"
-    )
-    return fitted.select(pick(list(columns), "i").alias("name"), "x", "fit")
-
-
 def scatter_sample(
     df: DataFrame,
     key: str,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from backframe.functions.expressions import threshold_flag
-from backframe.operators import association, distribution, pairs, prepare, relational, selection
+from backframe.operators import association, distribution, lowess, pairs, prepare, relational, selection
 from backframe.sources.report import report
 
 
@@ -98,7 +98,7 @@ def judge_features(
         "features": selection.printed_statistics(summary),
         "binned response": pairs.binned_response(df, response, con, bins),
         "distributions": distribution.class_histogram(df, con, response),
-        "trends": distribution.lowess_trend(df, con, response),
+        "trends": lowess.lowess_trend(df, con, response),
     }
     return Analysis(spec, "categorical", tables, charts)
 

@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import functions as F
 
 from backframe.functions.expressions import pick
-from backframe.operators import association, bins, distribution, pairs
+from backframe.operators import association, bins, distribution, lowess, pairs
 from backframe.plans.registry import query
 from backframe.plans.tables import CATEGORICAL, CONTINUOUS, load, view_sql
 from backframe.sources.report import ranked, report
@@ -361,7 +361,7 @@ def ols_trend(spark, sf):
 @query("lowess_trend")
 def lowess_trend(spark, sf):
     return rounded(
-        distribution.lowess_trend(load(spark, sf, "sales"), CONTINUOUS, RESPONSE)
+        lowess.lowess_trend(load(spark, sf, "sales"), CONTINUOUS, RESPONSE)
     )
 
 
@@ -394,7 +394,7 @@ _STEPPED = ["quantity", "discount", "tax", "part_size"]
 )
 def lowess_trend_plain(spark, sf):
     """Columns of few values and no reweighting, which SQL can follow."""
-    curves = distribution.lowess_trend(load(spark, sf, "sales"), _STEPPED, RESPONSE, rounds=0)
+    curves = lowess.lowess_trend(load(spark, sf, "sales"), _STEPPED, RESPONSE, rounds=0)
     return curves.withColumn("fit", F.round("fit", 6))
 
 

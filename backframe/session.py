@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -62,6 +63,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a stored frame of a few numbers a row is sent to all tasks.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """The frame, to be broadcast if it has no more than ``rows`` rows; else joins take it as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from backframe.operators import association, bins, distribution, pairs
+from backframe.operators import association, bins, distribution, pairs, ranks
 from tests.conftest import as_dicts
 
 
@@ -163,11 +163,11 @@ def test_empty_bins_count_in_the_divisor(df, frame):
     assert table.count() == 10 and table.where("n > 0").first()["bin"] == 4
 
 
-@pytest.mark.parametrize("resolution", [4, 2048])
-def test_quantiles_are_exact(df, frame, resolution):
+@pytest.mark.parametrize(("fan", "few"), [(2, 1), (3, 40), (1024, 4096)])
+def test_quantiles_are_exact(df, frame, fan, few):
     ps = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     got = as_dicts(
-        distribution.quantiles(df, ["a", "b", "c", "flat"], ps, "size", resolution),
+        distribution.quantiles(df, ["a", "b", "c", "flat"], ps, "size", fan, few),
         "name", "class", "p",
     )
     for c, s, p in itertools.product(["a", "b", "c", "flat"], ["s", "m"], ps):
@@ -175,6 +175,27 @@ def test_quantiles_are_exact(df, frame, resolution):
         assert got[c, s, p]["value"] == pytest.approx(np.quantile(values, p), abs=1e-12)
 
 
+def test_quantiles_beside_values_far_out(spark):
+    values = [float(v) for v in range(5000)] + [1e12, -1e300, 1.7e308, -1.7e308, 5e-324]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = as_dicts(distribution.quantiles(df, ["v"], [0.0, 0.3, 0.5, 1.0]), "p")
+    for p in (0.0, 0.3, 0.5, 1.0):
+        assert got[p]["value"] == np.quantile(values, p)
+
+
+def test_no_bucket_keeps_many_values_beside_one_far_out(spark, monkeypatch):
+    """What is left to be counted one by one is bounded, whatever lies far out."""
+    df = spark.range(200_000).select(F.when(F.col("id") == 7, 1e12).otherwise(F.col("id") % 50_000).alias("v"))
+    rows = df.select(F.lit(0).alias("i"), "v", F.lit(1).alias("n"))
+    wanted = spark.createDataFrame([(0, 100_000)], "i int, k long")
+    seen = []
+    real = ranks.stored
+    monkeypatch.setattr(ranks, "stored", lambda f, name: seen.append(real(f, name)) or seen[-1])
+    assert ranks.values_at_ranks(rows, ["i"], wanted).first()["v"] == sorted(i % 50_000 for i in range(200_000))[100_000]
+    assert [f.first()["m"] for f in seen][1] >= 199_000  # the value far out has the first round's buckets to itself
+    assert all(f.first()["m"] <= 4096 for f in seen[2:])
+
+
 def test_histogram_holds_every_row(df, frame):
     few = distribution.class_histogram(df, ["a", "b"], "kind", 0.2)
     n = few.groupBy("name").agg(F.sum("n").alias("n"))
@@ -219,35 +240,6 @@ def test_missing_responses_take_no_part(spark):
     assert all(r["mse"] == r["mse"] for r in pairs.brute_force(df, "y", categorical=["x", "z"]).collect())
 
 
-def plain_lowess(x, y, share, rounds):
-    """Row by row, with no counting of equal points."""
-    n, trust = len(x), np.ones(len(x))
-    k = max(int(share * n + 1e-10), 2)
-    for turn in range(rounds + 1):
-        fit = np.empty(n)
-        for i in range(n):
-            d = np.abs(x - x[i])
-            h = np.sort(d)[k - 1]
-            w = np.clip(1 - (d / h) ** 3, 0, None) ** 3 * trust
-            m, v = np.average(x, weights=w), np.average(y, weights=w)
-            slope = (w * (x - m) * y).sum() / (w * (x - m) ** 2).sum()
-            fit[i] = v + slope * (x[i] - m)
-        r = np.abs(y - fit)
-        s = 6 * np.median(r)
-        trust = np.where(r < s, (1 - (r / s) ** 2) ** 2, 0)
-    return dict(zip(x, fit))
-
-
-@pytest.mark.parametrize("rounds", [0, 3])
-def test_lowess(df, frame, rounds):
-    part = frame.dropna(subset=["b"])
-    want = plain_lowess(part["b"].to_numpy(), part["y"].to_numpy(float), 2 / 3, rounds)
-    got = {r["x"]: r["fit"] for r in
-           distribution.lowess_trend(df, ["b"], "y", rounds=rounds).collect()}
-    assert set(got) == set(want)
-    assert all(got[x] == pytest.approx(want[x], abs=1e-9) for x in want)
-
-
 def test_sample_is_stable_and_stratified(df):
     keyed = df.withColumn("id", F.monotonically_increasing_id())
     args = ("id", ["c"], "size", {"s": 0.5}, ["c"])
