@@ -40,6 +40,8 @@ SHARD_WORDS = 1 << 21
 #: Characters of text that are split into words at once, keys that a task keeps before it sends them.
 LOT_CHARS = 4_000_000
 KEPT_KEYS = 1 << 21
+#: Places that are tried for the children of a state before the arrays grow.
+TRIES = 4096
 #: Fixed value: the seed of Spark's own XXH64.
 SEED = 42
 NO_LANG = "und"
@@ -101,18 +103,23 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def numbered(words: DataFrame, folder: str, shards: int) -> tuple[DataFrame, int]:
     """(lang, word, n, id) and how many; the ids by hash are written as sorted arrays.
 
-    Ids count from 0 in the order of the hash, shard by shard, so no task numbers them all.
+    Ids count from 0, language by language, so that the words that may follow a phrase lie near
+    each other, and by hash within, shard by shard, so that no task numbers them all. The driver
+    sees a count per language and shard.
     """
+    spark = words.sparkSession
     key = F.xxhash64("lang", "word")
     shard = F.shiftright(F.shiftrightunsigned(key, 33) * shards, 31).cast("int")
     own = stored(words.select("*", key.alias("key"), shard.alias("shard")), "words")
-    sizes = {r["shard"]: r["count"] for r in own.groupBy("shard").count().collect()}
-    before = np.concatenate([[0], np.cumsum([sizes.get(k, 0) for k in range(shards)])])
+    sizes = sorted((r["lang"], r["shard"], r["count"]) for r in own.groupBy("lang", "shard").count().collect())
+    before = np.concatenate([[0], np.cumsum([n for _, _, n in sizes], dtype=np.int64)])
+    starts = [(lang, k, int(at)) for (lang, k, _), at in zip(sizes, before, strict=False)]
+    offsets = spark.createDataFrame(starts, "lang string, shard int, start long")
 
     unsigned = F.col("key").bitwiseXOR(F.lit(-(1 << 63)))
-    place = F.row_number().over(Window.partitionBy("shard").orderBy(unsigned)) - 1
-    offset = F.get(F.lit(before[:-1].tolist()), F.col("shard"))
-    named = stored(own.select("lang", "word", "n", "key", "shard", (place + offset).cast("long").alias("id")), "numbered")
+    place = F.row_number().over(Window.partitionBy("lang", "shard").orderBy(unsigned, "word")) - 1
+    placed = own.select("*", place.cast("long").alias("place")).join(F.broadcast(offsets), ["lang", "shard"])
+    named = stored(placed.select("lang", "word", "n", "key", "shard", (F.col("start") + F.col("place")).alias("id")), "numbered")
 
     def put(table: pa.Table) -> pa.Table:
         keys = table.column("key").to_numpy().view(np.uint64)
@@ -190,6 +197,15 @@ def phrase_of(trie: Trie, states: np.ndarray, longest: int) -> list[np.ndarray]:
     return out[::-1]
 
 
+def room_for(words: np.ndarray, used: np.ndarray, bases: np.ndarray) -> int | None:
+    """The first of the bases under which all slots of the words are free."""
+    for a in range(0, len(words), 16):
+        bases = bases[~used[words[a : a + 16, None] + bases].any(axis=0)]
+        if not len(bases):
+            return None
+    return int(bases[0])
+
+
 def grown(trie: Trie, parents: np.ndarray, words: np.ndarray, level: int) -> Trie:
     """The trie with a child of each parent for the word beside it.
 
@@ -210,13 +226,11 @@ def grown(trie: Trie, parents: np.ndarray, words: np.ndarray, level: int) -> Tri
         if sizes[k] < 2:
             break
         own = words[starts[k] : starts[k] + sizes[k]]
-        fits = None
-        while fits is None:
-            tried = draw.integers(n_words - own[0], len(used) - own[-1], 64)
-            fits = next((int(at) for at in tried if not used[own + at].any()), None)
-            if fits is None:
-                trie = wider(trie, len(used) // 4)
-                used = np.concatenate([used, np.zeros(len(trie.check) - len(used), bool)])
+        fits = room_for(own, used, draw.integers(n_words - own[0], len(used) - own[-1], TRIES))
+        if fits is None:  # behind all that is there
+            fits = len(used) - int(own[0])
+            trie = wider(trie, int(own[-1]) + n_words)
+            used = np.concatenate([used, np.zeros(len(trie.check) - len(used), bool)])
         slots[starts[k] : starts[k] + sizes[k]] = own + fits
         used[own + fits] = True
     single = starts[sizes == 1]
@@ -320,16 +334,18 @@ def accepted(blocks: DataFrame, known, longest: int, part: int, parts: int, shar
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = known.value
-        total = np.zeros(len(trie.check), np.int64)
+        accepting = np.flatnonzero(trie.check >= 0)
+        total = np.zeros(len(accepting), np.int64)
         for batch in batches:
             for ids in batch.column(0):
                 own = np.frombuffer(ids.as_py(), "<i4").astype(np.int64)
                 for k, states in enumerate(walk(trie, own, longest, part, parts)):
                     if k:
-                        total += np.bincount(states[states >= 0], minlength=len(total))
-        reached = np.flatnonzero(total)
-        if len(reached):
-            yield sent(reached, total[reached], shards)
+                        reached = np.searchsorted(accepting, states[states >= 0])
+                        total += np.bincount(reached, minlength=len(total))
+        some = total > 0
+        if some.any():
+            yield sent(accepting[some], total[some], shards)
         let_go()
 
     return added_up(blocks.mapInArrow(count, "shard int, blob binary"), 1)
