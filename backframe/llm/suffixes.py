@@ -16,19 +16,36 @@ DEPTH = 72
 UNKNOWN, DIVERSE = -1, -2
 
 
+def windows_met_again(eight: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Places of the windows whose first 48 bytes another window begins with too, and perhaps a few more.
+
+    All others share too little with any suffix to be part of a repeat.
+    """
+    hashes = np.zeros(len(start), np.uint64)
+    for at in range(0, WINDOW - 7, 8):
+        hashes = (hashes ^ eight[start + at].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        hashes ^= hashes >> np.uint64(29)
+    order = np.argsort(hashes)
+    same = np.concatenate([[False], np.diff(hashes[order]) == 0, [False]])
+    return np.sort(order[same[1:] | same[:-1]])
+
+
 def suffix_array(data: np.ndarray, start: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes at ``start``, and the prefix that each shares with the one before.
+    """Order of the suffixes at ``start`` that may share a window, and what each shares with the one before.
 
-    ``room`` is how far a suffix reaches; beyond, it counts as zeros, and a prefix ends there.
+    ``room`` is how far a suffix reaches, a window at least. One that ends where another goes on
+    stands before it, whatever bytes follow there. All others are no part of any repeat and left out.
     """
     padded = np.concatenate([data, np.zeros(DEPTH + 8, np.uint8)])
     eight = np.ndarray((len(padded) - 7,), ">u8", padded, 0, (1,))
+    some = windows_met_again(eight, start)
+    start, room = start[some], room[some]
     words = []
     for at in range(0, DEPTH, 8):
         left = np.clip(room - at, 0, 8)
         mask = np.where(left > 0, ~np.uint64(0) << (np.uint64(8) * (8 - np.maximum(left, 1)).astype(np.uint64)), 0)
         words.append(eight[start + at].astype(np.uint64) & mask.astype(np.uint64))
-    order = np.lexsort(words[::-1])
+    order = np.lexsort([room, *words[::-1]])
     shared = np.full(len(order), 0, np.int64)
     going = np.ones(max(len(order) - 1, 0), bool)
     for word in words:
@@ -39,7 +56,7 @@ def suffix_array(data: np.ndarray, start: np.ndarray, room: np.ndarray) -> tuple
         going &= differ == 0
     reach = room[order]
     shared[1:] = np.minimum(shared[1:], np.minimum(reach[1:], reach[:-1]))
-    return order, shared
+    return some[order], shared
 
 
 def maximal_repeats(

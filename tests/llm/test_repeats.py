@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -72,6 +73,33 @@ def test_against_brute_force(spark, sf_dir, dedup, brute, block, hot, monkeypatc
     assert dedup(docs.limit(0)).count() == 0
 
 
+def padded_texts():
+    random.seed(12)
+    body = [bytes(random.randrange(97, 123) for _ in range(random.randrange(45, 66))).decode() for _ in range(9)]
+    pad = ["", "\0", "\0" * 5, "\0" * 9, "\0" * 40, "x", "\0x", "\0" * 5 + "y"]
+    return [random.choice(body) + random.choice(pad) + random.choice(["", random.choice(body)]) for _ in range(200)]
+
+
+def test_texts_padded_with_nuls(spark):
+    docs = documents(spark, padded_texts())
+    got = [(r.doc_id, r.n_units, [tuple(x) for x in r.spans], bytes(r.kept)) for r in suffixes.suffix_dedup(docs).collect()]
+    assert sorted(got, key=repr) == plain_bytes([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(50, 58), st.sampled_from(["", "\0", "\0\0\0", "\0a", "a\0"])), min_size=1, max_size=9))
+def test_windows_beside_nuls(drawn):
+    base = [bytes((7 * k + 3 * i) % 5 for i in range(60)) for k in range(3)]
+    texts = [base[k][: n] + tail.encode() for k, n, tail in drawn]
+    doc = np.arange(len(texts))
+    got = suffixes.repeated_windows(texts, doc, doc[:, None], doc)
+    least = {}
+    for d, t in enumerate(texts):
+        for i in range(len(t) - 49):
+            least.setdefault(t[i : i + 50], d)
+    assert [g.tolist() for g in got] == [[least[t[i : i + 50]] < d for i in range(len(t) - 49)] for d, t in enumerate(texts)]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet="ab", min_size=3, max_size=14), min_size=1, max_size=8))
 def test_maximal_repeats_of_all_suffixes(texts):
