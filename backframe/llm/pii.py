@@ -50,6 +50,11 @@ RANGES = (
     (0x460, 0x52F), (0x560, 0x588), (0x10D0, 0x10FF), (0x2C00, 0x2C5F), (0x2C80, 0x2CFF), (0x13A0, 0x13FF),
     (0xAB70, 0xABBF), (0x10400, 0x1044F), (0x104B0, 0x104FF), (0x10CC0, 0x10CFF), (0x118C0, 0x118DF), (0x1E900, 0x1E943),
 )
+#: Alphabets of hexadecimal numbers.
+HEXADECIMAL = ("0123456789", "abcdef", "ABCDEF")
+#: Country codes of one and of two digits; all others have three.
+ONE_DIGIT_CODE = "^[+][17]"
+TWO_DIGIT_CODE = "^[+](?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 #: So many attempts keep the length of an entity; each one after them draws a surrogate longer by a character.
 SHAPED = 8
 #: Characters added that make a clash as good as impossible.
@@ -59,14 +64,15 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: A name with what belongs to it: O'Brien, McDonald, Smith-Jones, decomposed accents; and initials before it.
 _LOW = r"[\p{Ll}\p{M}]"
 _HEAD = rf"\p{{Lu}}\p{{M}}*(?:['’ʼ]\p{{Lu}})?{_LOW}"
-_NAME = rf"{_HEAD}+(?:[\-‐'’ʼ]?{_HEAD}+)*"
+#: Groups that repeat are bounded: the engine goes a level deeper with every round of one.
+_NAME = rf"{_HEAD}+(?:[\-‐'’ʼ]?{_HEAD}+){{0,8}}+"
 _INITIALS = r"(?:\p{Lu}[.] ?)?(?:\p{Lu}[.] ?)?"
 #: Phones with a country code in groups, national ones with a leading zero, and ten digits in groups.
 _NATIONAL = r"0\d{1,4}[ .\-]\d{3,4}[ .\-]?\d{3,4}|0\d(?:[ .\-]\d{2}){4}"
 _TEN = r"\d{3}[ .\-]\d{3}[ .\-]\d{4}"
 #: What each type looks like, in order of precedence.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})*\.[A-Za-z]{2,24}",
+    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|(?:sk|pk|ghp|gho|xox[bp])[_\-][A-Za-z0-9_\-]{16,}"
     r"|(?=[0-9]*+[a-fA-F])(?=[a-fA-F]*+[0-9])[0-9a-fA-F]{24,}+"
@@ -116,7 +122,8 @@ def kind_of(found: Column) -> Column:
 def canonical(kind: Column, found: Column) -> Column:
     """One form for all spellings of an entity, so that it has one surrogate everywhere."""
     return (
-        F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(found, "[^0-9]", ""))
+        F.when(kind.isin("card", "ssn"), F.regexp_replace(found, "[^0-9]", ""))
+        .when(kind == "phone", F.regexp_replace(found, "(?<!^)[+]|[^0-9+]", ""))
         .when(kind == "iban", F.regexp_replace(found, " ", ""))
         .when(kind == "email", F.lower(found))
         .when(kind == "surname", F.translate(F.lower(found), "’ʼ‐", "''-"))
@@ -136,12 +143,15 @@ def small_letters(first: int, last: int) -> str:
     )
 
 
-def redrawn(text: Column, digest: Column, fixed: int | Column = 0, ascii_only: bool = True) -> Column:
+def redrawn(
+    text: Column, digest: Column, fixed: int | Column = 0, ascii_only: bool = True, alphabets: tuple[str, ...] | None = None
+) -> Column:
     """Each character behind the first ``fixed`` by one of its alphabet or range, drawn by the digest.
 
     Letters of any other script become Latin ones, so that none is left as it is. ``ascii_only``
-    spares what ASCII texts do not need.
+    spares what ASCII texts do not need; given ``alphabets`` are the only ones.
     """
+    known = alphabets or (ALPHABETS[:5] if ascii_only else ALPHABETS)
 
     def draw(char: Column, place: Column) -> Column:
         def one_of(letters: str) -> Column:
@@ -149,7 +159,7 @@ def redrawn(text: Column, digest: Column, fixed: int | Column = 0, ascii_only: b
             return F.substring(F.lit(letters), at, F.lit(1))
 
         out = F.when(place < fixed, char)
-        for letters in ALPHABETS[:5] if ascii_only else ALPHABETS:
+        for letters in known:
             out = out.when(F.instr(F.lit(letters), char) > 0, one_of(letters))
         if ascii_only:
             return out.otherwise(char)
@@ -172,6 +182,33 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), term), F.lit(0), lambda a, x: a + x)
 
 
+def code_length(phone: Column) -> Column:
+    """Characters of the plus sign and the country code, 0 for a national number."""
+    return (
+        F.when(phone.rlike(ONE_DIGIT_CODE), 2)
+        .when(phone.rlike(TWO_DIGIT_CODE), 3)
+        .when(phone.startswith("+"), 4)
+        .otherwise(0)
+    )
+
+
+def iban_rest(iban: Column) -> Column:
+    """What is left of an account number by 97: its head behind its tail, letters from 10 on."""
+    def add(rest: Column, char: Column) -> Column:
+        digit = F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), char) - 1
+        return F.pmod(rest * F.when(digit > 9, 100).otherwise(10) + digit, F.lit(97))
+
+    turned = F.concat(iban.substr(F.lit(5), F.length(iban)), F.substring(iban, 1, 4))
+    return F.aggregate(F.split(turned, ""), F.lit(0), add)
+
+
+def with_check_digits(iban: Column) -> Column:
+    """The number with the check digits that make its rest 1."""
+    head, tail = F.substring(iban, 1, 2), iban.substr(F.lit(5), F.length(iban))
+    check = 98 - iban_rest(F.concat(head, F.lit("00"), tail))
+    return F.concat(head, F.lpad(check.cast("string"), 2, "0"), tail)
+
+
 def surrogate(kind: Column, own: Column, attempt: Column, secret: str) -> Column:
     """Canonical surrogate of a canonical entity; the attempt varies it, late ones are longer."""
     longer = F.greatest(attempt - (SHAPED - 1), F.lit(0))
@@ -203,8 +240,10 @@ def surrogate(kind: Column, own: Column, attempt: Column, secret: str) -> Column
             F.when(kind == "email", email)
             .when((kind == "address") & (longer > 0), F.concat_ws(":", F.lit("fd00"), *groups))
             .when(kind == "address", F.concat_ws(".", *octets))
-            .when(kind == "phone", redrawn(room, seed, F.greatest(F.length(own) - 10, F.lit(0))))
+            .when(kind == "phone", redrawn(room, seed, code_length(own)))
+            .when((kind == "iban") & (iban_rest(own) == 1), let(redrawn(room, seed, 2), with_check_digits))
             .when(kind == "iban", redrawn(room, seed, 2))
+            .when((kind == "secret") & own.rlike("^[0-9a-fA-F]+$"), redrawn(room, seed, alphabets=HEXADECIMAL))
             .when((kind == "card") & (F.pmod(luhn_sum(own), F.lit(10)) == 0), checked)
             .when(kind == "card", body)
             .otherwise(plain)
@@ -215,14 +254,15 @@ def surrogate(kind: Column, own: Column, attempt: Column, secret: str) -> Column
 
 def dressed(kind: Column, found: Column, new: Column) -> Column:
     """The surrogate in the spelling of the entity: its spaces and marks, or its capitals."""
+    plain = F.regexp_replace(new, "^[+]", "")
     spelled = F.aggregate(
         F.split(found, ""),
         F.struct(F.lit("").alias("out"), F.lit(1).alias("next")),
         lambda a, c: F.when(
             c.rlike("^[0-9A-Za-z]$"),
-            F.struct(F.concat(a["out"], F.substring(new, a["next"], F.lit(1))).alias("out"), (a["next"] + 1).alias("next")),
+            F.struct(F.concat(a["out"], F.substring(plain, a["next"], F.lit(1))).alias("out"), (a["next"] + 1).alias("next")),
         ).otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["next"].alias("next"))),
-        lambda a: F.concat(a["out"], new.substr(a["next"], F.length(new))),
+        lambda a: F.concat(a["out"], plain.substr(a["next"], F.length(plain))),
     )
     def cased(char: Column, place: Column) -> Column:
         own = F.substring(found, place + 1, F.lit(1))
