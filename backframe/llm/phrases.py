@@ -35,11 +35,11 @@ SHARE = 80
 TOP = 2000
 #: Phrases that one trie may hold, words of a stored block, and words whose phrases one shard adds up.
 TRIE_NODES = 2_000_000
-BLOCK_WORDS = 1 << 19
+BLOCK_WORDS = 1 << 18
 SHARD_WORDS = 1 << 21
 #: Characters of text that are split into words at once, keys that a task keeps before it sends them.
-LOT_CHARS = 4_000_000
-KEPT_KEYS = 1 << 21
+LOT_CHARS = 2_000_000
+KEPT_KEYS = 1 << 20
 #: Places that are tried for the children of a state before the arrays grow.
 TRIES = 4096
 #: Fixed value: the seed of Spark's own XXH64.
