@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from backframe.operators import models, neighbours, prepare, regression, selection, split
-from backframe.plans import games
+from backframe.operators import firth, models, neighbours, prepare, regression, selection
+from backframe.operators.preparation import Preparation
+from backframe.plans import games, model_stage
 from backframe.plans.analysis_queries import SALES, rounded
 from backframe.plans.registry import query
 from backframe.plans.table_queries import stored_games
 from backframe.plans.tables import CONTINUOUS, load
-from backframe.session import stored
 
 RESPONSE = "returned"
 
@@ -68,6 +68,38 @@ def logit_z_values(spark, sf):
     )
 
 
+def _firth_sql(names, rounds: int = 14) -> str:
+    """The penalised steps; leverages enter by sums of powers, as in the plain ones."""
+    text = _newton_sql(names, 0)
+    head = text[: text.index(" SELECT name, round(b / s, 6)")]
+    sums = """SELECT *, wzz / d AS v00, -wz / d AS v01, w / d AS v11 FROM (SELECT *, w * wzz - wz * wz AS d FROM (
+        SELECT name, any_value(a) AS a, any_value(b) AS b, sum(n * w) AS w, sum(n * w * z) AS wz,
+        sum(n * w * z * z) AS wzz, sum(n * (y - p)) AS g, sum(n * (y - p) * z) AS gz, sum(n * w * (0.5 - p)) AS c0,
+        sum(n * w * (0.5 - p) * z) AS c1, sum(n * w * (0.5 - p) * z * z) AS c2,
+        sum(n * w * (0.5 - p) * z * z * z) AS c3
+        FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-a - b * z)) AS p
+              FROM z JOIN {step} USING (name))) GROUP BY name))"""
+    steps = "".join(
+        f""", s{k + 1} AS MATERIALIZED (SELECT name, a + v00 * u + v01 * uz AS a, b + v01 * u + v11 * uz AS b
+        FROM (SELECT *, g + v00 * c0 + 2 * v01 * c1 + v11 * c2 AS u, gz + v00 * c1 + 2 * v01 * c2 + v11 * c3 AS uz
+              FROM ({sums.format(step=f's{k}')})))"""
+        for k in range(rounds)
+    )
+    return (
+        head + steps + f""" SELECT name, round(b / s, 6) AS coefficient, round(b / sqrt(v11), 5) AS z_value,
+        CAST(shape.n AS BIGINT) AS n, 'converged' AS status
+        FROM ({sums.format(step=f's{rounds}')}) JOIN shape USING (name)"""
+    )
+
+
+@query("logit_firth", _firth_sql(CONTINUOUS))
+def logit_firth(spark, sf):
+    fits = firth.firth_univariate(load(spark, sf, "sales"), CONTINUOUS, RESPONSE)
+    return fits.select(
+        "name", F.round("coefficient", 6).alias("coefficient"), F.round("z_value", 5).alias("z_value"), "n", "status"
+    )
+
+
 @query("rf_importance")
 def rf_importance(spark, sf):
     return models.forest_importance(load(spark, sf, "sales"), CONTINUOUS, RESPONSE)
@@ -124,44 +156,89 @@ def standardize(spark, sf):
     return rounded(models.standardize(orders, ["o_totalprice"]))
 
 
-def _split_games(spark, sf):
-    """Feature rows of games, cut in time order.
-
-    A model goes over the rows many times; a stored table spares it the joins behind them.
-    """
+def _games(spark, sf):
+    """Feature rows of games, and the predictors among their columns."""
     features = games.pair_features(stored_games(spark, sf), clean=True)
-    filled = stored(features.na.fill(0.0).na.fill(0), "features")
-    return split.ordered_split(filled, "local_date", "game_id")
+    rest = features.drop("game_id", "local_date", "h_team", "a_team")
+    return features, list(prepare.classify_columns(rest, "hometeam_win").continuous)
 
 
-def _predictors(df):
-    spec = prepare.classify_columns(
-        df.drop("game_id", "local_date", "h_team", "a_team", "is_test"), "hometeam_win"
-    )
-    return list(spec.continuous)
+def _stage(spark, sf, *names):
+    """Games cut in time order, means learned on the earlier ones, and the models of these names."""
+    features, predictors = _games(spark, sf)
+    fits = {n: model_stage.FITS[n] for n in names}
+    return model_stage.model_stage(features, predictors, "hometeam_win", "local_date", "game_id", fits=fits)
 
 
-def _scored(model, rows):
-    test = rows.where("is_test")
-    return model.transform(test).select(
-        "game_id", "hometeam_win", F.col("prediction").cast("int").alias("prediction")
-    )
+def _told(stage):
+    return stage.predictions.select("game_id", F.col("label").alias("hometeam_win"), "prediction")
 
 
 @query("rf_classify")
 def rf_classify(spark, sf):
-    rows = _split_games(spark, sf)
-    model = models.fit_forest(
-        rows.where("NOT is_test"), _predictors(rows), "hometeam_win", trees=50
-    )
-    return _scored(model, rows)
+    return _told(_stage(spark, sf, "forest"))
 
 
 @query("logreg_classify")
 def logreg_classify(spark, sf):
-    rows = _split_games(spark, sf)
-    model = models.fit_logistic(rows.where("NOT is_test"), _predictors(rows), "hometeam_win")
-    return _scored(model, rows)
+    return _told(_stage(spark, sf, "logistic"))
+
+
+@query("model_comparison")
+def model_comparison(spark, sf):
+    """Accuracies and F-scores of both models on the same later games."""
+    return rounded(_stage(spark, sf, "forest", "logistic").comparison())
+
+
+@query(
+    "model_comparison_rules",
+    SALES + """, p AS (SELECT 'linestatus' AS model, returned AS label, CASE WHEN linestatus = 'F' THEN 1 ELSE 0 END AS said FROM sales
+      UNION ALL SELECT 'quantity', returned, CASE WHEN quantity > 25 THEN 1 ELSE 0 END FROM sales)
+    SELECT model, count(*) AS n, round(avg(CASE WHEN label = said THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+      round(CAST(count(*) FILTER (label = 1 AND said = 1) AS DOUBLE) / count(*) FILTER (said = 1), 6) AS precision,
+      round(CAST(count(*) FILTER (label = 1 AND said = 1) AS DOUBLE) / count(*) FILTER (label = 1), 6) AS recall,
+      round(2.0 * count(*) FILTER (label = 1 AND said = 1) / (count(*) FILTER (label = 1) + count(*) FILTER (said = 1)), 6) AS f_score
+    FROM p GROUP BY model""",
+)
+def model_comparison_rules(spark, sf):
+    """The comparison on predictions that SQL can follow."""
+    sales = load(spark, sf, "sales")
+    rules = {"linestatus": F.col("linestatus") == "F", "quantity": F.col("quantity") > 25}
+    told = [
+        sales.select(F.lit(n).alias("model"), F.col("returned").alias("label"), rule.cast("int").alias("prediction"))
+        for n, rule in rules.items()
+    ]
+    return rounded(model_stage.compare(told[0].unionAll(told[1])))
+
+
+_DAY = "1996-01-01"
+
+
+@query(
+    "fitted_preparation",
+    f"""WITH o AS (SELECT o_orderkey, o_orderpriority, o_orderdate < DATE '{_DAY}' AS old,
+        CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_totalprice AS DOUBLE) END AS price FROM orders),
+    m AS (SELECT avg(price) AS m, stddev_pop(price) AS s FROM o WHERE old),
+    l AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS code FROM o
+          WHERE old AND o_orderpriority <> '3-MEDIUM' GROUP BY 1)
+    SELECT o_orderkey, round((coalesce(price, m) - m) / s, 6) AS price,
+      CAST(coalesce(code, (SELECT count(*) FROM l)) AS DOUBLE) AS o_orderpriority
+    FROM o CROSS JOIN m LEFT JOIN l USING (o_orderpriority) WHERE NOT old""",
+)
+def fitted_preparation(spark, sf):
+    """Later orders filled, scaled and coded by earlier ones, one label being new to them."""
+    orders = load(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderdate",
+        F.when(F.col("o_orderkey") % 7 > 0, F.col("o_totalprice").cast("double")).alias("price"),
+    )
+    old = F.col("o_orderdate") < F.lit(_DAY).cast("date")
+    learned = Preparation(["price"], ["o_orderpriority"], scaled=True).fit(
+        orders.where(old).withColumn(
+            "o_orderpriority", F.when(F.col("o_orderpriority") != "3-MEDIUM", F.col("o_orderpriority"))
+        )
+    )
+    later = learned.transform(orders.where(~old))
+    return later.select("o_orderkey", F.round("price", 6).alias("price"), "o_orderpriority")
 
 
 @query("scaled_forest")
