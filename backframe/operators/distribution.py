@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from backframe.functions.expressions import clean_double, pick
 from backframe.operators.ranks import FAN, FEW, values_at_ranks
-from backframe.session import stored
+from backframe.session import small, stored
 
 
 def _long(df: DataFrame, columns: Sequence[str], keep: Sequence[Column]) -> DataFrame:
@@ -26,11 +26,16 @@ def _class(name: str) -> Column:
 def class_histogram(
     df: DataFrame, columns: Sequence[str], by: str, width: float = 0.2
 ) -> DataFrame:
-    """(name, class, bin, start, n, density) with bins counted from each class's minimum."""
+    """(name, class, bin, start, n, density) with bins counted from each class's minimum.
+
+    The minima go to the rows, which are counted where they lie; only counts are exchanged.
+    """
     rows = _long(df, columns, [_class(by)]).where(F.col("class").isNotNull())
-    starts = rows.groupBy("i", "class").agg(F.min("v").alias("lo"), F.count("v").alias("total"))
+    starts = stored(
+        rows.groupBy("i", "class").agg(F.min("v").alias("lo"), F.count("v").alias("total")), "starts"
+    )
     bins = (
-        rows.join(starts, ["i", "class"])
+        rows.join(small(starts), ["i", "class"])
         .groupBy("i", "class", F.floor((F.col("v") - F.col("lo")) / width).alias("bin"))
         .agg(F.count("v").alias("n"), F.first("lo").alias("lo"), F.first("total").alias("total"))
     )
@@ -66,8 +71,9 @@ def class_kde(
         # Spark merges central moments, so values far from zero keep their spread.
         (F.stddev_samp("v") * F.pow(F.count("v"), F.lit(-0.2))).alias("h"),
     ).where(F.col("h") > 0)
+    shapes = stored(shapes, "shapes")
     buckets = (
-        rows.join(shapes.select("i", "class", F.col("lo").alias("from"), "h"), ["i", "class"])
+        rows.join(small(shapes.select("i", "class", F.col("lo").alias("from"), "h")), ["i", "class"])
         .groupBy("i", "class", F.floor((F.col("v") - F.col("from")) * fineness / F.col("h")).alias("bucket"))
         .agg(
             F.count("v").alias("n"),
@@ -82,8 +88,9 @@ def class_kde(
         "at", F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / float(points - 1)
     )
     z = (F.col("at") - F.col("x")) / F.col("h")
+    # The grid goes to the buckets, so a class is spread over as many tasks as they are.
     return (
-        grid.join(buckets.select("i", "class", "n", "x"), ["i", "class"])
+        buckets.select("i", "class", "n", "x").join(small(grid), ["i", "class"])
         .groupBy("i", "class", "point", "at", "h", "total")
         .agg(F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("mass"))
         .select(

@@ -63,11 +63,13 @@ def nearest_neighbours(
     """(query, neighbour, label, distance, rank): the k nearest training rows of each query.
 
     By default there are about as many pivots as blocks of queries, 512 at most. ``key``
-    identifies rows in both frames and breaks ties; the smaller key is the nearer.
+    identifies rows in both frames and breaks ties; the smaller key is the nearer. Labels may be
+    text or numbers and stay as they are.
     """
     numbers = F.col(vector).cast("array<double>").alias("vector")
     known = train.select(F.col(key).cast("long").alias("id"), numbers,
-                         F.col(label).cast("int").alias("label"))
+                         F.col(label).alias("label"))
+    kind = known.schema["label"].dataType.simpleString()
     asked = queries.select(F.col(key).cast("long").alias("id"), numbers)
 
     if pivots is None:
@@ -78,7 +80,7 @@ def nearest_neighbours(
     centres = np.array([r["vector"] for r in chosen], dtype=float)
 
     known_cells = _to_nearest_pivot(
-        known, centres, "id long, vector array<double>, label int, cell int, reach double"
+        known, centres, f"id long, vector array<double>, label {kind}, cell int, reach double"
     )
     asked_cells = _to_nearest_pivot(
         asked, centres, "id long, vector array<double>, cell int, reach double"
@@ -116,7 +118,7 @@ def nearest_neighbours(
             out = batch.iloc[row].reset_index(drop=True)
             yield out.assign(cell=cell)
 
-    candidates = known.mapInPandas(spread, "id long, vector array<double>, label int, cell int")
+    candidates = known.mapInPandas(spread, f"id long, vector array<double>, label {kind}, cell int")
     sizes = {r["cell"]: r["n"] for r in candidates.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n")).collect()}
     q_blocks = [max(1, math.ceil(facts.get(c, (0, 0))[1] / block)) for c in range(n_cells)]
@@ -158,7 +160,7 @@ def nearest_neighbours(
     compared = (
         left.groupBy("cell", "q", "t")
         .cogroup(right.groupBy("cell", "q", "t"))
-        .applyInPandas(compare, "query long, neighbour long, label int, distance double")
+        .applyInPandas(compare, f"query long, neighbour long, label {kind}, distance double")
     )
     order = Window.partitionBy("query").orderBy("distance", "neighbour")
     return compared.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from backframe.functions.expressions import ratio
+from backframe.session import stored
 
 
 def grouped_ratio(
@@ -82,18 +83,18 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
-def contingency(df: DataFrame, predictor: str, response: str) -> DataFrame:
+def contingency(df: DataFrame, predictor: str, response: str, spread: int = 64) -> DataFrame:
     """Counts of predictor label x response label over the union of both label sets.
 
     Labels compare as text. The full square has (number of labels)^2 cells, so it is meant
     for categories; ``observed_cells`` gives the cells that occur, however many labels there are.
+    The square is dealt in ``spread`` parts of the second label, each met by all first ones.
     """
-    cells = observed_cells(df, predictor, response)
+    cells = stored(observed_cells(df, predictor, response), "cells")
     labels = cells.select(F.explode(F.array("x", "y")).alias("label")).distinct()
-    listed = labels.agg(F.array_sort(F.collect_list("label")).alias("labels"))
-    square = listed.select(F.explode("labels").alias("x"), "labels").select(
-        "x", F.explode("labels").alias("y")
-    )
+    first = labels.select(F.col("label").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"))
+    second = labels.select(F.col("label").alias("y"), F.pmod(F.xxhash64("label"), F.lit(spread)).cast("int").alias("part"))
+    square = first.join(second, "part").select("x", "y")
     return square.join(cells, ["x", "y"], "left").select(
         "x", "y", F.coalesce("n", F.lit(0)).alias("n")
     )

@@ -61,7 +61,7 @@ def analyse(df: DataFrame, response: str, bins: int = 10, bin_width: float = 0.2
     if kind == "categorical":
         flagged = data.withColumn("__answer", threshold_flag(response, "True", "False"))
         for c in cat:
-            charts[f"contingency {c}"] = relational.contingency(flagged, c, "__answer")
+            charts[f"contingency {c}"] = relational.observed_cells(flagged, c, "__answer")
         if con:
             repeated = prepare.duplicate_columns(data.select(*con))
             distinct = [c for c in con if c not in repeated]

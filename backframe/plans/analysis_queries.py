@@ -398,7 +398,7 @@ def lowess_trend_plain(spark, sf):
     return curves.withColumn("fit", F.round("fit", 6))
 
 
-_FRACTIONS = {"1-URGENT": 0.2, "2-HIGH": 0.1, "3-MEDIUM": 0.05}
+_FRACTIONS = {"1-URGENT": 0.2, "2-HIGH": 0.1, "3-MEDIUM": 0.05, "4-NOT SPECIFIED": 0.02, "5-LOW": 0.01}
 
 
 @query(

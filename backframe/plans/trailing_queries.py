@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from backframe.functions.expressions import whole_number
@@ -265,7 +267,8 @@ def rolling_pair_features(spark, sf):
     return _rounded(games.pair_features(stored_games(spark, sf)))
 
 
-_DIFFS = ["batting_avg", "bb", "iso", "finalscore", "p_ip"]
+# Every feature of both sides but the one whose difference the rows have already.
+_DIFFS = [n for n in re.findall(r" AS h_(\w+)", _pair_sql("home", "h")) if n != "xbh"]
 
 
 @query(
