@@ -7,9 +7,11 @@ import itertools
 from pyspark.sql import functions as F
 
 from backframe.functions.expressions import pick
-from backframe.operators import association, bins, distribution, lowess, pairs
+from backframe.operators import association, bins, distribution, lowess, pairs, sketches
+from backframe.plans.analysis import analyse
 from backframe.plans.registry import query
 from backframe.plans.tables import CATEGORICAL, CONTINUOUS, load, view_sql
+from backframe.session import stored
 from backframe.sources.report import ranked, report
 
 SALES = view_sql("sales")
@@ -420,13 +422,17 @@ def scatter_sample(spark, sf):
     )
 
 
+def _section_sql(text: str, score: str) -> str:
+    return f"SELECT x1 || ' x ' || x2 AS item, {score} AS score FROM ({text.removeprefix(BINNED)})"
+
+
 _SECTIONS = {
-    "con/con correlation": "SELECT x1 || ' x ' || x2 AS item, value AS score FROM ("
-    + _pearson_sql(CONTINUOUS) + ")",
-    "cat/con correlation": "SELECT x1 || ' x ' || x2 AS item, value AS score FROM ("
-    + _eta_sql(CATEGORICAL, CONTINUOUS) + ")",
-    "con/con difference": "SELECT x1 || ' x ' || x2 AS item, wmse AS score FROM ("
-    + _brute_sql(list(itertools.combinations(_CON, 2)), "within").removeprefix(BINNED) + ")",
+    "con/con correlation": _section_sql(_pearson_sql(CONTINUOUS), "value"),
+    "cat/con correlation": _section_sql(_eta_sql(CATEGORICAL, CONTINUOUS), "value"),
+    "cat/cat correlation": _section_sql(_cramer_sql(CATEGORICAL, True), "value"),
+    "cat/cat difference": _section_sql(_brute_sql(list(itertools.combinations(_CAT, 2)), "within"), "wmse"),
+    "con/con difference": _section_sql(_brute_sql(list(itertools.combinations(_CON, 2)), "within"), "wmse"),
+    "cat/con difference": _section_sql(_brute_sql(list(itertools.product(_CAT, _CON)), "within"), "wmse"),
 }
 
 
@@ -440,15 +446,32 @@ _SECTIONS = {
     ),
 )
 def report_sections(spark, sf):
+    """All tables of pairs of the whole analysis, ranked and stacked."""
+    sales = stored(load(spark, sf, "sales").select(*CONTINUOUS, *CATEGORICAL, RESPONSE), "sales")
+    found = analyse(sales, RESPONSE).tables
+    return report({name: (rounded(df), labels, score) for name, (df, labels, score) in found.items()})
+
+
+_SHARES = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+@query(
+    "quantile_sketch",
+    "SELECT name, p, true AS within FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in CONTINUOUS)
+    + ") n(name) CROSS JOIN (VALUES "
+    + ", ".join(f"(CAST({p} AS DOUBLE))" for p in _SHARES)
+    + ") s(p)",
+)
+def quantile_sketch(spark, sf):
+    """Whether quantiles of sketches per status and priority, merged, have ranks within the error that is stated."""
     sales = load(spark, sf, "sales")
-    labels = ["x1", "x2"]
-    tables = {
-        "con/con correlation": (rounded(association.pearson(sales, CONTINUOUS)), labels, "value"),
-        "cat/con correlation": (
-            rounded(association.correlation_ratio(sales, CATEGORICAL, CONTINUOUS)), labels, "value",
-        ),
-        "con/con difference": (
-            rounded(pairs.brute_force(sales, RESPONSE, continuous=CONTINUOUS)), labels, "wmse",
-        ),
-    }
-    return report(tables)
+    parts = stored(sketches.quantile_sketches(sales, CONTINUOUS, ["linestatus", "orderpriority"], 400), "sketches")
+    told = stored(sketches.sketched_quantiles(sketches.merged_sketches(parts), _SHARES), "quantiles")
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in CONTINUOUS]))
+    ranks = (
+        sales.select(values.alias("r")).select("r.*").join(F.broadcast(told), "name").groupBy("name", "p")
+        .agg(F.avg((F.col("v") < F.col("value")).cast("int")).alias("below"), F.avg((F.col("v") <= F.col("value")).cast("int")).alias("upto"))
+    )
+    off = F.greatest(F.col("below") - F.col("p"), F.col("p") - F.col("upto"), F.lit(0.0))
+    return ranks.select("name", "p", (off <= 1.5 * sketches.rank_error(400)).alias("within"))
