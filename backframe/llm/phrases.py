@@ -454,7 +454,10 @@ def ranked(phrases: DataFrame, words: DataFrame, totals: DataFrame, longest: int
     )
     own = left_over.join(spelled, "ids").select("lang", "phrase", "a", "l", "r", "score")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    placed = own.select("*", F.row_number().over(order).cast("long").alias("rank"))
+    # Compared as it is numbered, the limit also holds in each task before the languages meet.
+    placed = own.select("*", F.row_number().over(order).alias("rank"))
     if top is not None:
         placed = placed.where(F.col("rank") <= top)
-    return placed.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return placed.join(totals, "lang").select(
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
+    )
