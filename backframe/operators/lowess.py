@@ -37,8 +37,6 @@ WIDE_GAP = 0.25
 GAPS = 3
 POWERS = 12
 
-_BINOMIAL = np.array([[math.comb(q, j) for j in range(POWERS)] for q in range(POWERS)], float)
-
 
 class Chunks(NamedTuple):
     """One column's chunks: ends, rows in them, rows before them, and the rows of a window."""
@@ -87,16 +85,20 @@ def powers(x: np.ndarray, centre: float, scale: float) -> np.ndarray:
 
 
 def moved(moments: np.ndarray, by: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Moments in z = by + scale * (old z), row by row."""
-    out = np.zeros_like(moments)
-    step = [np.ones_like(by)]
-    for _ in range(POWERS - 1):
-        step.append(step[-1] * by)
-    own = moments * np.asarray(scale)[:, None] ** np.arange(POWERS)
-    for q in range(POWERS):
-        for j in range(q + 1):
-            out[:, q] += _BINOMIAL[q, j] * step[q - j] * own[:, j]
-    return out
+    """Moments in z = by + scale * (old z), row by row.
+
+    A round adds ``by`` times the power below to every power from its own on; after all of them the
+    terms of each binomial are together.
+    """
+    out = np.ascontiguousarray(moments.T)
+    power = np.ones(len(by))
+    for q in range(1, POWERS):
+        power = power * scale
+        out[q] *= power
+    for first in range(1, POWERS):
+        for q in range(POWERS - 1, first - 1, -1):
+            out[q] += by * out[q - 1]
+    return out.T
 
 
 def weighed(t: np.ndarray, power: int) -> np.ndarray:
