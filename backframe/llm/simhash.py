@@ -234,13 +234,16 @@ def one_of_each(
 ) -> DataFrame:
     """Of each group of near-duplicates the row with the least key, in all its columns.
 
-    A row without key gets one from its text, behind all others. Of rows that repeat a key, one
-    stays. The join that picks the rows has a key per row, so no group meets in a task.
+    A row without key gets one from its text, behind all others. Rows that repeat a key and a text are
+    one; of rows that repeat a key with unlike texts each stands for its own group, by the hash of
+    its text. The join that picks the rows has a key per row, so no group meets in a task.
     """
     row = fresh_name(docs, "row_key")
     number = fresh_name(docs, "row_number")
-    substitute = F.lit(1 << 62) + F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(1 << 61))
-    keyed = docs.withColumn(row, F.coalesce(F.col(f"`{key}`").cast("long"), substitute))
+    digest = F.xxhash64(F.col(f"`{text}`"))
+    substitute = F.lit(1 << 62) + F.pmod(digest, F.lit(1 << 61))
+    own = F.struct(F.coalesce(F.col(f"`{key}`").cast("long"), substitute).alias("key"), digest.alias("digest"))
+    keyed = docs.withColumn(row, own)
     first = (
         near_duplicates(keyed.select(row, f"`{text}`"), row, text, shingle, distance)
         .where(F.col(row) == F.col("component_id"))

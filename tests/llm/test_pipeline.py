@@ -54,3 +54,12 @@ def test_one_row_of_each_group(spark):
     groups = {c for _, _, c in plain([(r if r is not None else 1 << 62, t) for r, t in rows], 4, 4)}
     assert got.count() == len(groups) == len({r.doc_id for r in got.collect()})
     assert one_of_each(docs.limit(0)).count() == 0
+
+
+def test_repeated_keys_keep_every_unlike_text(spark):
+    """One of the rows that share a key and a text, and each that shares only the key."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, c), (2, c), (3, a), (None, b), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in one_of_each(docs).collect()), key=repr)
+    assert got == sorted([(1, a), (1, b), (2, c), (None, None)], key=repr)
