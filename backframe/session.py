@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,15 +50,74 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[application]
 
 
+#: Folders made within the innermost open ``scratch_run``.
+_OPEN_RUN: ContextVar[list[str] | None] = ContextVar("backframe_scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """A new path in the shared folder, which the open ``scratch_run``, if any, will remove."""
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    made = _OPEN_RUN.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+def _folder(spark: SparkSession, path: str):
+    """The path and its file system, as Spark's writers see them."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own, own.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[list[str]]:
+    """Frames stored in this block live as long as it, whether it ends well or not.
+
+    Results must be written, by ``publish`` or otherwise, before it ends. Blocks may be nested; each removes
+    its own folders.
+    """
+    made: list[str] = []
+    token = _OPEN_RUN.set(made)
+    try:
+        yield made
+    finally:
+        _OPEN_RUN.reset(token)
+        for path in made:
+            own, files = _folder(spark, path)
+            files.delete(own, True)
+
+
+def publish(df: DataFrame, path: str) -> None:
+    """Write a result so that ``path`` holds all of it or what it held before.
+
+    It is written to a folder beside, which then takes the place of the old one. A run that fails leaves
+    the old result and no folder of its own; the same call may simply be made again.
+    """
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
+    (new_path, files), (place, _), (old_path, _) = (_folder(spark, p) for p in (staging, path, old))
+    try:
+        df.write.parquet(staging)
+        replaced = files.exists(place)
+        if replaced and not files.rename(place, old_path):
+            raise OSError(f"cannot move {path} away")
+        if not files.rename(new_path, place):
+            if replaced:
+                files.rename(old_path, place)
+            raise OSError(f"cannot publish {path}")
+        if replaced:
+            files.delete(old_path, True)
+    finally:
+        files.delete(new_path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written out once to the shared folder and read back.
 
     For a frame whose joins are costly and which several consumers read. Unlike a cache, the
-    files survive the loss of executors, and each reader scans only the columns it needs.
+    files survive the loss of executors, and each reader scans only the columns it needs. They stay
+    until the ``scratch_run`` around them ends, or for good without one.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
