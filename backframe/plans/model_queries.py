@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from backframe.operators import firth, models, neighbours, prepare, regression, selection
+from backframe.operators import firth, models, neighbours, prepare, projections, regression, selection
 from backframe.operators.preparation import Preparation
 from backframe.plans import games, model_stage
 from backframe.plans.analysis_queries import SALES, rounded
@@ -266,6 +266,19 @@ def knn_classify(spark, sf):
     return neighbours.knn_classify(vectors, vectors, "vec_id", "embedding", "label", k=7)
 
 
+@query(
+    "knn_approximate",
+    "SELECT 7 * count(*) AS n, true AS enough FROM embeddings WHERE vec_id % 20 = 0",
+)
+def knn_approximate(spark, sf):
+    """Whether hashed projections find nine in ten of the neighbours that the exact form finds."""
+    vectors = load(spark, sf, "embeddings")
+    asked = vectors.where("vec_id % 20 = 0")
+    found = projections.approximate_neighbours(vectors, asked, "vec_id", "embedding", "label")
+    exact = neighbours.nearest_neighbours(vectors, asked, "vec_id", "embedding", "label")
+    return projections.recall(found, exact).select("n", (F.col("recall") >= 0.9).alias("enough"))
+
+
 _RULE = (
     SALES + ", p AS (SELECT returned AS label, CASE WHEN linestatus = 'F' THEN 1 ELSE 0 END "
     "AS prediction FROM sales) "
