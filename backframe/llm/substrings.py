@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from backframe.llm.repeats import Kind, WordUnits, remove_repeats
@@ -13,69 +12,97 @@ WINDOW = 20
 GRAM = 8
 
 
-def factors(
-    words: list[bytes],
-    find: Callable[[bytes, int], tuple[int, int] | None],
-    reference: list[list[bytes]],
-) -> list[tuple[int, int]]:
-    """Greedy parse of a stretch: (first, length) of its factors of a window or more.
+def ranked_prefixes(words: np.ndarray, width: int) -> np.ndarray:
+    """The rank of the ``width`` words from each place on, equal ones alike: a suffix array's order.
+
+    Ranks of 1, 2, 4, ... words follow from each other by pairs, those of ``width`` from the last ones.
+    Places too near the end are left out.
+    """
+    def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.unique(a * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1]
+
+    ranks, size, rest = words.astype(np.int64), 1, width
+    out, done = None, 0
+    while rest:
+        if rest & 1:
+            own = ranks[done:]
+            out = own if out is None else paired(out[: len(own)], own[: len(out)])
+            done += size
+        rest >>= 1
+        if rest:
+            ranks, size = paired(ranks[:-size], ranks[size:]), 2 * size
+    return out
+
+
+def sources(ranks: np.ndarray, doc: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """For each place the first one of its rank that counts as earlier, -1 if there is none.
+
+    Places are in order of document, row and start. Earlier is one of a lesser document, or one before in the
+    same row; those in another row of the same key are passed over.
+    """
+    def first(groups: np.ndarray) -> np.ndarray:
+        _, at, group = np.unique(groups, return_index=True, return_inverse=True)
+        return at[group]
+
+    here = np.arange(len(ranks))
+    lead, own = first(ranks), first(ranks * (int(row.max(initial=0)) + 1) + row)
+    return np.where(doc[lead] < doc, lead, np.where(own < here, own, -1))
+
+
+def factors(at: int, end: int, source: list[int], words: list[int], ends: list[int]) -> list[tuple[int, int]]:
+    """Greedy parse of the words from ``at`` to ``end``: (first, length) of its factors of a window or more.
 
-    Where a window is found in the index, the match is carried on, word by word, as far as the
-    reference goes along; the next factor begins behind its last window. As windows are looked up
-    from there on, those that lie across the end of a factor are not missed, whichever part of the
-    reference they come from.
+    A factor begins where a window has a source in the reference and is carried on, word by word, as
+    far as the two agree; windows inside it are not looked up. The next factor begins behind its last
+    window, so windows that lie across the end of a factor are not missed, whichever part of the
+    reference they come from. ``ends[i]`` is where the reference around place i stops.
     """
-    out, at, n = [], 0, len(words)
-    while at + WINDOW <= n:
-        place = find(b" ".join(words[at : at + WINDOW]), at)
-        if place is None:
+    out = []
+    while at + WINDOW <= end:
+        place = source[at]
+        if place < 0:
             at += 1
             continue
-        source, there = reference[place[0]], place[1] + WINDOW
-        end = at + WINDOW
-        while end < n and there < len(source) and words[end] == source[there]:
-            end, there = end + 1, there + 1
-        out.append((at, end - at))
-        at = end - WINDOW + 1
+        stop, there = at + WINDOW, place + WINDOW
+        limit = ends[place]
+        while stop < end and there < limit and words[stop] == words[there]:
+            stop, there = stop + 1, there + 1
+        out.append((at, stop - at))
+        at = stop - WINDOW + 1
     return out
 
 
 def repeated_windows(texts: list[bytes], doc: np.ndarray, rows: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
     """Whether each window of each stretch starts earlier, in a lesser document or the same row.
 
-    The stretches of the bucket are the reference block, indexed by their windows in order of
-    document, row and start; each is parsed against those before it and its own beginning.
+    The stretches of the bucket, in order of document, row and start, are the reference block. Its
+    index is the order of their suffixes by a window's words; each stretch is parsed against what counts as
+    earlier there.
     """
     order = np.lexsort((start, rows[:, 1], rows[:, 0], doc))
-    index: dict[bytes, tuple[int, int]] = {}
-    own_rows: dict[tuple, tuple[int, int]] = {}
-    reference: list[list[bytes]] = []
-    owner: list[tuple[int, int, int]] = []
+    split = [texts[which].split(b" ") for which in order.tolist()]
+    sizes = np.array([len(w) for w in split])
+    stops = np.cumsum(sizes)
+    coded = pa.array([w for own in split for w in own], pa.large_binary()).dictionary_encode().indices.to_numpy()
+    begins = stops - sizes
+    windows = sizes - WINDOW + 1
+    place = np.repeat(begins - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
+    stretch = np.repeat(np.arange(len(order)), windows)
+    _, row = np.unique(rows[order], axis=0, return_inverse=True)
+    # Windows that hang over the end of a stretch have a rank, too, but are in none of these places.
+    found = sources(ranked_prefixes(coded, WINDOW)[place], doc[order][stretch], row.ravel()[stretch])
+    source = np.full(len(coded), -1)
+    source[place] = np.where(found >= 0, place[found], -1)
+    some = np.unique(stretch[found >= 0])
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(texts)
-    for which in order.tolist():
-        words = texts[which].split(b" ")
-        me = (int(doc[which]), int(rows[which, 0]), int(rows[which, 1]))
-        number = len(reference)
-        reference.append(words)
-        owner.append(me)
-        repeats = np.zeros(len(words) - WINDOW + 1, bool)
-        # Index what is new, so that a window can find an earlier one of its own stretch.
-        for at in range(len(repeats)):
-            window = b" ".join(words[at : at + WINDOW])
-            place = index.setdefault(window, (number, at))
-            if owner[place[0]] != me and owner[place[0]][0] == me[0]:
-                own_rows.setdefault((window, me), (number, at))  # another row of the same key
-
-        def earlier(window: bytes, at: int, me=me, number=number) -> tuple[int, int] | None:
-            place = index[window]
-            theirs = owner[place[0]]
-            if theirs[0] == me[0] and theirs != me:
-                place = own_rows[window, me]
-            return None if place == (number, at) else place
-
-        for first, length in factors(words, earlier, reference):
-            repeats[first : first + length - WINDOW + 1] = True
-        out[which] = repeats
+    for which, n in zip(order.tolist(), windows.tolist(), strict=True):
+        out[which] = np.zeros(n, bool)
+    if len(some):
+        words, told, ends = coded.tolist(), source.tolist(), np.repeat(stops, sizes).tolist()
+        for k in some.tolist():
+            repeats, begin = out[order[k]], int(begins[k])
+            for first, length in factors(begin, int(stops[k]), told, words, ends):
+                repeats[first - begin : first - begin + length - WINDOW + 1] = True
     return out
 
 

@@ -119,3 +119,23 @@ def test_maximal_repeats_of_all_suffixes(texts):
         if len(at) > 1 and differ(left) and differ(right):
             want[s] = (at, min(k for k, _ in at))
     assert got == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=40), st.integers(1, 9))
+def test_ranks_are_those_of_sorted_prefixes(words, width):
+    ranks = substrings.ranked_prefixes(np.array(words, np.int64), width) if len(words) >= width else []
+    got = np.unique(ranks, return_inverse=True)[1]
+    prefixes = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+    names = {p: k for k, p in enumerate(sorted(set(prefixes)))}
+    assert list(got) == [names[p] for p in prefixes]
+
+
+def test_factors_take_windows_at_their_ends_from_other_sources():
+    """A factor stops where its source does; the windows across its end come from elsewhere."""
+    a, b = [f"a{i}" for i in range(25)], [f"b{i}" for i in range(25)]
+    texts = [" ".join(x).encode() for x in (a, b, [*a[-19:], *b[:19]], [*a, *b], [*a, "new", *b])]
+    doc = np.arange(5)
+    got = substrings.repeated_windows(texts, doc, np.stack([doc, doc], axis=1), doc)
+    assert [g.tolist() for g in got[:3]] == [[False] * 6, [False] * 6, [False] * 19]
+    assert got[3].all() and got[4].tolist() == [True] * 6 + [False] * 20 + [True] * 6
