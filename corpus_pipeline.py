@@ -1,4 +1,12 @@
-"""From raw documents to packed training sequences, one operator per stage."""
+"""From raw documents to packed training sequences, one operator per stage.
+
+Every stage takes any documents: null, empty and very long texts, null and repeated ids, further columns
+of any name, no rows at all. A null or empty text fails the quality rules; given to a later stage it
+has no shingle, no benchmark word and no entity, stays as it is, and is packed as its closing id. A null id
+stays null; near-dedup ranks it behind all others. Rows alike in id and text count as one document in near-dedup, whose
+representative is the least id; rows that share only the id are documents of their own. All but the
+last stage return the columns they were given.
+"""
 
 from __future__ import annotations
 
