@@ -367,7 +367,7 @@ def lowess_trend(spark, sf):
     )
 
 
-_STEPPED = ["quantity", "discount", "tax", "part_size"]
+_STEPPED = ["quantity", "discount", "tax", "retailprice", "part_size"]
 
 
 @query(
@@ -395,7 +395,7 @@ _STEPPED = ["quantity", "discount", "tax", "part_size"]
     ),
 )
 def lowess_trend_plain(spark, sf):
-    """Columns of few values and no reweighting, which SQL can follow."""
+    """Columns whose values SQL can pair with each other, and no reweighting."""
     curves = lowess.lowess_trend(load(spark, sf, "sales"), _STEPPED, RESPONSE, rounds=0)
     return curves.withColumn("fit", F.round("fit", 6))
 
