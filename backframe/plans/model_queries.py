@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from backframe.operators import firth, models, neighbours, prepare, projections, regression, selection
+from backframe.operators import deep_forest, firth, models, neighbours, prepare, projections, regression, selection
 from backframe.operators.preparation import Preparation
 from backframe.plans import games, model_stage
 from backframe.plans.analysis_queries import SALES, rounded
@@ -184,6 +184,14 @@ def logreg_classify(spark, sf):
     return _told(_stage(spark, sf, "logistic"))
 
 
+@query("deep_forest_classify")
+def deep_forest_classify(spark, sf):
+    """Trees as deep as the games ask for."""
+    features, predictors = _games(spark, sf)
+    fits = {"deep forest": lambda train, columns, label: deep_forest.fit_deep_forest(train, columns, label, "game_id")}
+    return _told(model_stage.model_stage(features, predictors, "hometeam_win", "local_date", "game_id", fits=fits))
+
+
 @query("model_comparison")
 def model_comparison(spark, sf):
     """Accuracies and F-scores of both models on the same later games."""
