@@ -81,7 +81,8 @@ def ends_of_windows(c: Chunks) -> np.ndarray:
 
 
 def powers(x: np.ndarray, centre: float, scale: float) -> np.ndarray:
-    return ((x - centre) / (scale if scale > 0 else 1.0))[:, None] ** np.arange(POWERS)
+    z = (x - centre) / (scale if scale > 0 else 1.0)
+    return np.cumprod([np.ones_like(z), *[z] * (POWERS - 1)], axis=0).T
 
 
 def moved(moments: np.ndarray, by: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -365,7 +366,7 @@ def _fits(levels: DataFrame, needed: DataFrame, chunks: dict[int, Chunks], place
         return pd.DataFrame({"i": [i], "k": [k], "m": [moments.tolist()]})
 
     made = {i: np.zeros((len(c.lo), 2 * POWERS)) for i, c in chunks.items()}
-    for row in levels.groupBy("i", "chunk").applyInPandas(add, "i int, k int, m array<double>").toLocalIterator():
+    for row in levels.groupBy("i", "chunk").applyInPandas(add, "i int, k int, m array<double>").collect():
         made[row["i"]][row["k"]] = row["m"]
     known = spark.sparkContext.broadcast({i: (c, (made[i][:, :POWERS], made[i][:, POWERS:])) for i, c in chunks.items()})
 
