@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from backframe.functions.expressions import clean_double
 
-SCHEMA = "name string, coefficient double, z_value double, p_value double, n bigint"
+SCHEMA = "name string, coefficient double, z_value double, p_value double, n bigint, status string"
 
 
 def _newton_step(sums) -> tuple[float, float] | None:
@@ -37,10 +37,11 @@ def logit_univariate(
     tolerance: float = 1e-10,
     cache: bool = True,
 ) -> DataFrame:
-    """(name, coefficient, z_value, p_value, n) of each predictor; the response is 0/1.
+    """(name, coefficient, z_value, p_value, n, status) of each predictor; the response is 0/1.
 
-    A predictor that separates the response, or has no spread, has no finite estimate and
-    gets NULL statistics. Rows lacking the response or the predictor's value are left out.
+    A predictor without spread, or one that separates the response or does not settle, has no finite
+    estimate and gets NULL statistics; ``status`` tells ``no spread`` or ``not converged``, else
+    ``converged``. ``firth_univariate`` has estimates for separated ones. Rows lacking the response or the predictor's value are left out.
     The fit takes some eight passes; ``cache=False`` reads the input anew in each, for a stored
     table whose columns would not fit the executors' memory and disks.
     """
@@ -114,13 +115,13 @@ def logit_univariate(
     for position, name in enumerate(columns):
         i = usable.index(position) if position in usable else None
         if i is None or i in failed or i not in final:
-            rows.append((name, None, None, None, None))
+            rows.append((name, None, None, None, None, "no spread" if i is None else "not converged"))
             continue
         f = final[i]
         det = f["w"] * f["wzz"] - f["wz"] ** 2
         z_value = b[i] / math.sqrt(f["w"] / det)
         rows.append(
             (name, b[i] / moments[f"s{position}"], z_value,
-             math.erfc(abs(z_value) / math.sqrt(2.0)), f["n"])
+             math.erfc(abs(z_value) / math.sqrt(2.0)), f["n"], "converged")
         )
     return spark.createDataFrame(rows, SCHEMA)

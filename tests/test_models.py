@@ -39,6 +39,9 @@ def test_logit_agrees_with_glm(df):
         assert got[c]["p_value"] == pytest.approx(fit.summary.pValues[0], rel=1e-6)
     for c in ("flat", "same"):  # no spread; separates the response
         assert got[c]["z_value"] is None and got[c]["p_value"] is None
+    assert {c: r["status"] for c, r in got.items()} == {
+        "good": "converged", "noise": "converged", "flat": "no spread", "same": "not converged",
+    }
 
 
 def test_logit_leaves_out_missing_values(df):
