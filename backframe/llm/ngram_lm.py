@@ -38,7 +38,9 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, START = b" end", b" start"
 #: Bytes of training text whose pairs one shard holds, and pairs that a task keeps before it sends them.
 SHARD_BYTES = 12 << 20
-KEPT_PAIRS = 1 << 22
+KEPT_PAIRS = 1 << 21
+#: Characters of text that are split into words at once.
+LOT_CHARS = 4_000_000
 #: Discounts of one, two and more where counts of counts are too few to tell.
 USUAL = (0.5, 1.0, 1.5)
 COLUMNS = ["count", "follows", "total", "once", "twice", "often"]
@@ -93,6 +95,20 @@ def tokens_of(texts: list[str | None]) -> Tokens:
     return Tokens(np.array(hashes, np.uint64), coded.indices.to_numpy().astype(np.int64), np.array(ends))
 
 
+def lots(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in lists of about ``LOT_CHARS`` characters, at least one text in each."""
+    lot: list[str | None] = []
+    size = 0
+    for text in texts:
+        lot.append(text)
+        size += len(text or "")
+        if size > LOT_CHARS:
+            yield lot
+            lot, size = [], 0
+    if lot:
+        yield lot
+
+
 def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     """A hash for each pair of hashes."""
     x = (before ^ before >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + after * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -175,12 +191,12 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[Pairs] = []
         for batch in batches:
-            if batch.num_rows:
-                kept.append(batch_pairs(batch.column(0).to_pylist()))
-            if sum(len(n) for _, _, n in kept) > KEPT_PAIRS:
-                kept = [merged(kept)]
-                if len(kept[0][2]) > KEPT_PAIRS // 2:
-                    yield sent(kept.pop(), shards)
+            for some in lots(batch.column(0).to_pylist()):
+                kept.append(batch_pairs(some))
+                if sum(len(n) for _, _, n in kept) > KEPT_PAIRS:
+                    kept = [merged(kept)]
+                    if len(kept[0][2]) > KEPT_PAIRS // 2:
+                        yield sent(kept.pop(), shards)
         if kept:
             yield sent(merged(kept), shards)
         let_go()
@@ -294,13 +310,13 @@ def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "lm")
     python_ready(docs.sparkSession)
 
     @F.pandas_udf("n_tokens long, n_known long, base_score double, score double")
-    def told(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            own = [t if isinstance(t, str) else None for t in texts]
-            yield score_batch(model, own) if own else pd.DataFrame(columns=["n_tokens", "n_known", "base_score", "score"])
+            told = [score_batch(model, some) for some in lots([t if isinstance(t, str) else None for t in texts])]
+            yield pd.concat(told) if told else pd.DataFrame(columns=["n_tokens", "n_known", "base_score", "score"])
         let_go()
 
-    return without(docs, [name]).withColumn(name, told(F.col(f"`{text}`")))
+    return without(docs, [name]).withColumn(name, scores(F.col(f"`{text}`")))
 
 
 def held_out(key: str, parts: int, part: int) -> Column:

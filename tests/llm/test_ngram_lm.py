@@ -76,6 +76,7 @@ class Plain:
 def test_against_a_plain_model(spark, sf_dir, monkeypatch, bytes_, kept):
     monkeypatch.setattr(lm, "SHARD_BYTES", bytes_)
     monkeypatch.setattr(lm, "KEPT_PAIRS", kept)
+    monkeypatch.setattr(lm, "LOT_CHARS", 40 * kept)
     frames = [clashing(documents(spark)).withColumnRenamed("quality", "LM")]
     if kept > 1000:
         frames.append(table(spark, sf_dir, "documents"))
