@@ -37,8 +37,8 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: No word has a space in it.
 END, START = b" end", b" start"
 #: Bytes of training text whose pairs one shard holds, and pairs that a task keeps before it sends them.
-SHARD_BYTES = 12 << 20
-KEPT_PAIRS = 1 << 21
+SHARD_BYTES = 24 << 20
+KEPT_PAIRS = 1 << 22
 #: Characters of text that are split into words at once.
 LOT_CHARS = 4_000_000
 #: Discounts of one, two and more where counts of counts are too few to tell.
