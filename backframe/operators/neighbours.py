@@ -15,12 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from backframe.session import ship_package
 
 _SLACK = 1e-9
+#: Rows that a task sends on at once, when it sends a row many times.
+SENT_ROWS = 8192
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -33,6 +35,57 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _nearest(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``b`` of the k rows nearest to each row of ``a``, ties by place, and their distances.
+
+    Squared distances from one matrix product in single precision rule out all rows but those that its
+    rounding leaves open; these are compared exactly. Rows that it cannot tell apart are all compared.
+    """
+    width, all_of_b = min(k, len(b)), len(b)
+    places, reach = np.empty((len(a), width), np.int64), np.empty((len(a), width))
+    middle = b.mean(axis=0)
+    with np.errstate(all="ignore"):
+        b32 = (b - middle).astype(np.float32)
+        norm = (b32 * b32).sum(axis=1)
+    step = max(1, 4_000_000 // max(1, all_of_b))
+    for start in range(0, len(a), step):
+        part = a[start : start + step]
+        with np.errstate(all="ignore"):
+            a32 = (part - middle).astype(np.float32)
+            near = a32 @ b32.T
+            near *= -2
+            near += norm
+            slack = 32 * (a.shape[1] + 4) * np.finfo(np.float32).eps * ((a32 * a32).sum(axis=1) + norm.max())
+        row = None
+        if np.isfinite(near).all() and np.isfinite(slack).all():
+            # The k-th of some columns bounds the k-th of all.
+            some = min(all_of_b, max(width, 512))
+            bound = np.partition(near[:, :some], width - 1, axis=1)[:, width - 1]
+            row, column = np.nonzero(near <= (bound + slack)[:, None])
+            if len(row) > 256 * len(part):
+                row = None
+        if row is None:
+            d = _distances(part, b)
+            best = np.argsort(d, axis=1, kind="stable")[:, :width]
+            places[start : start + step], reach[start : start + step] = best, np.take_along_axis(d, best, axis=1)
+            continue
+        d = np.concatenate([
+            np.sqrt(((part[row[i : i + 65_536]] - b[column[i : i + 65_536]]) ** 2).sum(axis=1)) for i in range(0, len(row), 65_536)
+        ])
+        order = np.lexsort((column, d, row))
+        firsts = np.searchsorted(row, np.arange(len(part)))
+        best = order[firsts[:, None] + np.arange(width)]
+        places[start : start + step], reach[start : start + step] = column[best], d[best]
+    return places, reach
+
+
+def _kept(df: DataFrame, vector: str) -> tuple[Column, str]:
+    """The vector as it travels, single precision if it has no more, and its type."""
+    single = df.schema[vector].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if single else "array<double>"
+    return F.col(vector).cast(kind).alias("vector"), kind
+
+
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(float) if len(vectors) else np.empty((0, 0))
 
@@ -58,7 +111,7 @@ def nearest_neighbours(
     label: str,
     k: int = 7,
     pivots: int | None = None,
-    block: int = 1024,
+    block: int = 8192,
 ) -> DataFrame:
     """(query, neighbour, label, distance, rank): the k nearest training rows of each query.
 
@@ -66,11 +119,12 @@ def nearest_neighbours(
     identifies rows in both frames and breaks ties; the smaller key is the nearer. Labels may be
     text or numbers and stay as they are.
     """
-    numbers = F.col(vector).cast("array<double>").alias("vector")
+    numbers, numbers_kind = _kept(train, vector)
     known = train.select(F.col(key).cast("long").alias("id"), numbers,
                          F.col(label).alias("label"))
     kind = known.schema["label"].dataType.simpleString()
-    asked = queries.select(F.col(key).cast("long").alias("id"), numbers)
+    asked_numbers, asked_kind = _kept(queries, vector)
+    asked = queries.select(F.col(key).cast("long").alias("id"), asked_numbers)
 
     if pivots is None:
         pivots = min(512, max(1, math.ceil(asked.count() / block)))
@@ -80,10 +134,10 @@ def nearest_neighbours(
     centres = np.array([r["vector"] for r in chosen], dtype=float)
 
     known_cells = _to_nearest_pivot(
-        known, centres, f"id long, vector array<double>, label {kind}, cell int, reach double"
+        known, centres, f"id long, vector {numbers_kind}, label {kind}, cell int, reach double"
     )
     asked_cells = _to_nearest_pivot(
-        asked, centres, "id long, vector array<double>, cell int, reach double"
+        asked, centres, f"id long, vector {asked_kind}, cell int, reach double"
     )
     closest = Window.partitionBy("cell").orderBy("reach")
     near = (
@@ -115,10 +169,11 @@ def nearest_neighbours(
             if not len(batch):
                 continue
             row, cell = np.nonzero(_distances(_matrix(batch["vector"]), centres) <= limits)
-            out = batch.iloc[row].reset_index(drop=True)
-            yield out.assign(cell=cell)
+            for a in range(0, len(row), SENT_ROWS):
+                out = batch.iloc[row[a : a + SENT_ROWS]].reset_index(drop=True)
+                yield out.assign(cell=cell[a : a + SENT_ROWS])
 
-    candidates = known.mapInPandas(spread, f"id long, vector array<double>, label {kind}, cell int")
+    candidates = known.mapInPandas(spread, f"id long, vector {numbers_kind}, label {kind}, cell int")
     sizes = {r["cell"]: r["n"] for r in candidates.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n")).collect()}
     q_blocks = [max(1, math.ceil(facts.get(c, (0, 0))[1] / block)) for c in range(n_cells)]
@@ -145,15 +200,14 @@ def nearest_neighbours(
         if not len(asked_part) or not len(known_part):
             return pd.DataFrame({c: [] for c in columns})
         part = known_part.sort_values("id", kind="stable")
-        d = _distances(_matrix(asked_part["vector"]), _matrix(part["vector"]))
-        best = np.argsort(d, axis=1, kind="stable")[:, :k]
+        best, d = _nearest(_matrix(asked_part["vector"]), _matrix(part["vector"]), k)
         width = best.shape[1]
         return pd.DataFrame(
             {
                 "query": np.repeat(asked_part["id"].to_numpy(), width),
                 "neighbour": part["id"].to_numpy()[best].ravel(),
                 "label": part["label"].to_numpy()[best].ravel(),
-                "distance": np.take_along_axis(d, best, axis=1).ravel(),
+                "distance": d.ravel(),
             }
         )
 

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
@@ -126,3 +127,28 @@ def test_neighbours_against_brute_force(spark, pivots, block):
         assert found[i] == [p[0] for p in order]
         labels = [p[2] for p in order]
         assert votes[i]["prediction"] == min(set(labels), key=lambda c: (-labels.count(c), c))
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e4, 1e300])
+def test_nearest_rows_are_those_of_all_distances(offset):
+    rng = np.random.default_rng(3)
+    b = np.concatenate([rng.normal(size=(3000, 16)), np.zeros((40, 16)), rng.normal(size=(1, 16)).repeat(30, axis=0)]) + offset
+    a = np.concatenate([b[::50], rng.normal(size=(50, 16)) + offset])
+    places, reach = neighbours._nearest(a, b, 7)
+    d = neighbours._distances(a, b)
+    best = np.argsort(d, axis=1, kind="stable")[:, :7]
+    assert (places == best).all() and (reach == np.take_along_axis(d, best, axis=1)).all()
+
+
+def test_rows_near_many_pivots_are_sent_in_small_batches(spark, monkeypatch):
+    """Vectors of many dimensions lie near all cells; what a worker sends at once stays bounded."""
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(2000, 64))
+    batch = pd.DataFrame({"id": range(2000), "vector": list(points), "label": 0})
+    df = spark.createDataFrame([(i, points[i].tolist(), 0) for i in range(300)], "id long, v array<double>, label int")
+    functions = []
+    real = type(df).mapInPandas
+    monkeypatch.setattr(type(df), "mapInPandas", lambda self, f, *a: functions.append(f) or real(self, f, *a))
+    neighbours.nearest_neighbours(df, df, "id", "v", "label", k=3, pivots=32)
+    sent = [len(out) for out in functions[2](iter([batch]))]
+    assert sum(sent) > 2000 * 16 and max(sent) <= 8192
