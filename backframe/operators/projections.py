@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from backframe.operators.neighbours import _distances, _matrix, nearest_neighbours
+from backframe.operators.neighbours import SENT_ROWS, _distances, _kept, _matrix, _nearest, nearest_neighbours
 from backframe.session import ship_package, stored
 
 
@@ -133,9 +133,10 @@ def approximate_neighbours(
     """
     spark = train.sparkSession
     ship_package(spark)
-    numbers = F.col(vector).cast("array<double>").alias("vector")
+    numbers, numbers_kind = _kept(train, vector)
     known = train.select(F.col(key).cast("long").alias("id"), numbers, F.col(label).alias("label"))
-    asked = queries.select(F.col(key).cast("long").alias("id"), numbers)
+    asked_numbers, asked_kind = _kept(queries, vector)
+    asked = queries.select(F.col(key).cast("long").alias("id"), asked_numbers)
     kind = known.schema["label"].dataType.simpleString()
     hashes = _hashes(known, k, how)
     # Of equal vectors no query needs more than the k least keys.
@@ -144,20 +145,23 @@ def approximate_neighbours(
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                buckets = hashes.buckets(hashes.cells(_matrix(batch["vector"])))
-                out = batch.iloc[np.repeat(np.arange(len(batch)), buckets.shape[1])].reset_index(drop=True)
+            step = max(1, SENT_ROWS // how.tables)
+            for a in range(0, len(batch), step):
+                part = batch.iloc[a : a + step]
+                buckets = hashes.buckets(hashes.cells(_matrix(part["vector"])))
+                out = part.iloc[np.repeat(np.arange(len(part)), buckets.shape[1])].reset_index(drop=True)
                 yield out.assign(bucket=buckets.ravel())
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for a in range(0, len(batch), how.block):
-                part = batch.iloc[a : a + how.block]
+            step = max(1, SENT_ROWS // (how.tables * how.probes))
+            for a in range(0, len(batch), step):
+                part = batch.iloc[a : a + step]
                 rows, buckets = hashes.probed(_matrix(part["vector"]))
                 yield part.iloc[rows].reset_index(drop=True).assign(bucket=buckets)
 
-    indexed = few.mapInPandas(index, f"id long, vector array<double>, label {kind}, bucket long")
-    probed = asked.mapInPandas(probe, "id long, vector array<double>, bucket long").distinct()
+    indexed = few.mapInPandas(index, f"id long, vector {numbers_kind}, label {kind}, bucket long")
+    probed = asked.mapInPandas(probe, f"id long, vector {asked_kind}, bucket long").distinct()
     counts = lambda df, name: df.groupBy("bucket").agg(F.count(F.lit(1)).alias(name))
     # Only buckets that hold rows and are looked into matter; each is cut into blocks.
     met = stored(counts(indexed, "rows").join(counts(probed, "asked"), "bucket"), "buckets")
@@ -181,15 +185,14 @@ def approximate_neighbours(
         if not len(asked_part) or not len(known_part):
             return pd.DataFrame({c: [] for c in columns})
         part = known_part.sort_values("id", kind="stable")
-        d = _distances(_matrix(asked_part["vector"]), _matrix(part["vector"]))
-        best = np.argsort(d, axis=1, kind="stable")[:, :k]
+        best, d = _nearest(_matrix(asked_part["vector"]), _matrix(part["vector"]), k)
         width = best.shape[1]
         return pd.DataFrame(
             {
                 "query": np.repeat(asked_part["id"].to_numpy(), width),
                 "neighbour": part["id"].to_numpy()[best].ravel(),
                 "label": part["label"].to_numpy()[best].ravel(),
-                "distance": np.take_along_axis(d, best, axis=1).ravel(),
+                "distance": d.ravel(),
             }
         )
 
