@@ -19,6 +19,14 @@ def _long(df: DataFrame, columns: Sequence[str], keep: Sequence[Column]) -> Data
     return df.select(*keep, F.posexplode(values).alias("i", "v")).where(F.col("v").isNotNull())
 
 
+def _narrow(df: DataFrame, columns: Sequence[str], *keep: Column) -> DataFrame:
+    """The kept columns and the values alone, written once: ranks are found in several passes.
+
+    The values are named by their place; a join or a wide table behind ``df`` is worked on once.
+    """
+    return stored(df.select(*keep, *[clean_double(c).alias(f"x{i}") for i, c in enumerate(columns)]), "narrow")
+
+
 def _class(name: str) -> Column:
     return F.col(name).cast("string").alias("class")
 
@@ -119,8 +127,19 @@ def quantiles(
     hold a few values; no task sorts a column or keeps its distinct values, and a value far out
     makes no bucket hold the rest for long.
     """
-    keep = [F.lit("all").alias("class") if by is None else _class(by)]
-    rows = _long(df, columns, keep).where(F.col("class").isNotNull()).withColumn("n", F.lit(1).cast("long"))
+    keep = F.lit("all").alias("class") if by is None else _class(by)
+    return _quantiles(_narrow(df, columns, keep), columns, probabilities, fan, few)
+
+
+def _named(narrow: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(class, i, v) of a narrow frame, rows without a class left out."""
+    return _long(narrow, [f"x{i}" for i in range(len(columns))], ["class"]).where(F.col("class").isNotNull())
+
+
+def _quantiles(
+    narrow: DataFrame, columns: Sequence[str], probabilities: Sequence[float], fan: int = FAN, few: int = FEW
+) -> DataFrame:
+    rows = _named(narrow, columns).withColumn("n", F.lit(1).cast("long"))
     totals = rows.groupBy("i", "class").agg(F.sum("n").alias("total"))
     rank = F.col("p") * (F.col("total") - 1).cast("double")
     places = stored(
@@ -142,13 +161,13 @@ def quantiles(
 
 def box_summary(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """(name, class, n, lo, q1, median, q3, hi) for a box or violin per class."""
+    narrow = _narrow(df, columns, _class(by))
     ends = (
-        _long(df, columns, [_class(by)])
-        .where(F.col("class").isNotNull())
+        _named(narrow, columns)
         .groupBy(pick(list(columns), "i").alias("name"), "class")
         .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     )
-    at = quantiles(df, columns, [0.25, 0.5, 0.75], by)
+    at = _quantiles(narrow, columns, [0.25, 0.5, 0.75])
     quartiles = at.groupBy("name", "class").agg(
         *[
             F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
@@ -162,12 +181,13 @@ def box_summary(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
 
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(name, mean, min, max, median) of each column; the median is exact."""
+    narrow = _narrow(df, columns, F.lit("all").alias("class"))
     moments = (
-        _long(df, columns, [])
+        _named(narrow, columns)
         .groupBy(pick(list(columns), "i").alias("name"))
         .agg(F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
     )
-    medians = quantiles(df, columns, [0.5]).select("name", F.col("value").alias("median"))
+    medians = _quantiles(narrow, columns, [0.5]).select("name", F.col("value").alias("median"))
     return moments.join(medians, "name")
 
 
