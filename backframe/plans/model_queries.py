@@ -11,6 +11,7 @@ from backframe.plans.analysis_queries import SALES, rounded
 from backframe.plans.registry import query
 from backframe.plans.table_queries import stored_games
 from backframe.plans.tables import CONTINUOUS, load
+from backframe.session import stored
 
 RESPONSE = "returned"
 
@@ -122,6 +123,7 @@ def prune_correlated(spark, sf):
     sales = load(spark, sf, "sales").withColumn(
         "twin", F.col("extendedprice") / F.col("quantity") + F.col("tax")
     )
+    sales = stored(sales.select(RESPONSE, *_TWINNED), "sales")
     importance = models.forest_importance(sales, _TWINNED, RESPONSE)
     return selection.prune_correlated(sales, _TWINNED, importance)
 
@@ -252,7 +254,7 @@ def fitted_preparation(spark, sf):
 @query("scaled_forest")
 def scaled_forest(spark, sf):
     """Scaler and forest in one, judged on the rows it was fitted on."""
-    sales = load(spark, sf, "sales").select(*CONTINUOUS, RESPONSE)
+    sales = stored(load(spark, sf, "sales").select(*CONTINUOUS, RESPONSE), "sales")
     model = models.fit_scaled_forest(sales, CONTINUOUS, RESPONSE)
     return models.accuracy(model.transform(sales), "prediction", RESPONSE)
 
