@@ -15,6 +15,7 @@ from backframe.operators.association import pearson
 from backframe.operators.models import forest_importance
 from backframe.operators.pairs import mean_of_response
 from backframe.operators.regression import logit_univariate
+from backframe.session import stored
 
 
 def feature_summary(
@@ -25,7 +26,11 @@ def feature_summary(
     seed: int = 1,
     bins: int = 10,
 ) -> DataFrame:
-    """(name, mse, wmse, z_value, p_value, importance), one row per feature."""
+    """(name, mse, wmse, z_value, p_value, importance), one row per feature.
+
+    The columns are written once, as each statistic goes over them several times.
+    """
+    df = stored(df.select(response, *columns), "summary-rows")
     difference = mean_of_response(df, response, columns, bins)
     statistics = logit_univariate(df, columns, response).select("name", "z_value", "p_value")
     importance = forest_importance(df, columns, response, trees, seed)
