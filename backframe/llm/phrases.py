@@ -444,7 +444,8 @@ def ranked(phrases: DataFrame, words: DataFrame, totals: DataFrame, longest: int
         .agg(F.max("n").alias("around"))
     )
     covered = F.coalesce(F.lit(100).cast("decimal(10,0)") * exact("around") >= F.lit(share).cast("decimal(10,0)") * exact("a"), F.lit(False))
-    left_over = weakest.join(around, "ids", "left").where(~covered)
+    # Read twice; stored, it keeps the plan, which the driver holds, half as large.
+    left_over = stored(weakest.join(around, "ids", "left").where(~covered), "left-over")
     spelled = (
         left_over.select("ids", F.posexplode("ids").alias("at", "id"))
         .join(words.select(F.col("id").cast("int").alias("id"), "lang", F.col("word").cast("string").alias("word")), "id")
