@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -107,26 +108,27 @@ def weighed(t: np.ndarray, power: int) -> np.ndarray:
     return t[:, power] - 3 * t[:, power + 3] + 3 * t[:, power + 6] - t[:, power + 9]
 
 
-class Part(NamedTuple):
+class Part:
     """A chunk's running moments: ``upto[i]`` of its first i values about its lower end, ``on[i]`` of
     those from the i-th on about its upper end.
 
-    Whatever is taken from them lies in a window together with that end, however wide the chunk is.
+    Whatever is taken from them lies in a window together with that end, however wide the chunk is. Only
+    those asked for are made: a window ends in some chunks and begins in others.
     """
 
-    lo: float
-    hi: float
-    upto: tuple[np.ndarray, np.ndarray]
-    on: tuple[np.ndarray, np.ndarray]
+    def __init__(self, x: np.ndarray, sums: tuple[np.ndarray, np.ndarray]) -> None:
+        self.x, self.sums = x, sums
+        self.lo, self.hi = x[0], x[-1]
 
+    @cached_property
+    def upto(self) -> tuple[np.ndarray, ...]:
+        first, none = powers(self.x, self.lo, self.hi - self.lo), np.zeros((1, POWERS))
+        return tuple(np.concatenate([none, np.cumsum(s[:, None] * first, axis=0)]) for s in self.sums)
 
-def part_of(x: np.ndarray, sums: tuple[np.ndarray, np.ndarray]) -> Part:
-    lo, hi = x[0], x[-1]
-    first, last = powers(x, lo, hi - lo), powers(x, hi, hi - lo)
-    none = np.zeros((1, POWERS))
-    upto = tuple(np.concatenate([none, np.cumsum(s[:, None] * first, axis=0)]) for s in sums)
-    on = tuple(np.concatenate([np.cumsum((s[:, None] * last)[::-1], axis=0)[::-1], none]) for s in sums)
-    return Part(lo, hi, upto, on)
+    @cached_property
+    def on(self) -> tuple[np.ndarray, ...]:
+        last, none = powers(self.x, self.hi, self.hi - self.lo), np.zeros((1, POWERS))
+        return tuple(np.concatenate([np.cumsum((s[:, None] * last)[::-1], axis=0)[::-1], none]) for s in self.sums)
 
 
 def radii(c: Chunks, at: np.ndarray, left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
@@ -183,7 +185,7 @@ def fitted(c: Chunks, own: int, values: pd.DataFrame, moments: tuple[np.ndarray,
     h = np.where(alone, 1.0, h)
     centre, scale = c.centre()
     parts = {
-        int(k): part_of(g["x"].to_numpy(), (g["s0"].to_numpy(), g["s1"].to_numpy()))
+        int(k): Part(g["x"].to_numpy(), (g["s0"].to_numpy(), g["s1"].to_numpy()))
         for k, g in values.groupby("chunk", sort=False)
     }
     me = parts[own]
@@ -325,9 +327,9 @@ def lowess_trend(
     cuts = chunk_cuts(levels, len(columns), share, chunk)
     for i, x in gap_cuts(with_chunk(levels, cuts)):
         cuts[i] = np.union1d(cuts[i], [x])
-    levels = stored(with_chunk(levels, cuts), "levels")
+    points = stored(with_chunk(points, cuts), "points")
     chunks, needs = {}, []
-    facts = levels.groupBy("i", "chunk").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("n")).toPandas()
+    facts = points.groupBy("i", "chunk").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("n")).toPandas()
     places = {}
     for i, own in facts.sort_values("lo").groupby("i"):
         n = own["n"].to_numpy()
@@ -342,8 +344,9 @@ def lowess_trend(
     needed = stored(spark.createDataFrame(needs, "i int, chunk long, place int, of int"), "needs")
     for turn in range(rounds + 1):
         trusted = F.col("n") * F.col("trust")
-        sums = points.groupBy("i", "x").agg(F.sum(trusted).alias("s0"), F.sum(trusted * F.col("y")).alias("s1"))
-        own = stored(levels.join(sums, ["i", "x"]), "level-sums")
+        # The points know their chunk, so that no round joins the levels again.
+        sums = [F.sum("n").alias("n"), F.sum(trusted).alias("s0"), F.sum(trusted * F.col("y")).alias("s1")]
+        own = stored(points.groupBy("i", "x", "chunk").agg(*sums), "level-sums")
         told = stored(_fits(own, needed, chunks, places), "fits")
         if turn == rounds:
             break
@@ -373,9 +376,9 @@ def _fits(levels: DataFrame, needed: DataFrame, chunks: dict[int, Chunks], place
     def fit(values: pd.DataFrame) -> pd.DataFrame:
         i, own = int(values["i"].iloc[0]), int(values["of"].iloc[0])
         c, moments = known.value[i]
-        return fitted(c, own, values.drop(columns="chunk").rename(columns={"place": "chunk"}), moments).assign(i=i)
+        return fitted(c, own, values, moments).assign(i=i)
 
-    met = levels.join(small(needed), ["i", "chunk"])
+    met = levels.join(small(needed), ["i", "chunk"]).select("i", "of", F.col("place").alias("chunk"), "x", "n", "s0", "s1")
     return met.groupBy("i", "of").applyInPandas(fit, "i int, x double, fit double")
 
 
@@ -390,4 +393,4 @@ def _trusted(points: DataFrame, fits: DataFrame) -> DataFrame:
     part = F.col("v") / F.col("scale")
     trust = F.when(part < 1, F.pow(1 - part * part, F.lit(2))).otherwise(0.0)
     kept = F.when(F.col("scale") > 0, F.when(F.isnan("v"), 0.0).otherwise(trust)).otherwise(F.col("trust"))
-    return stored(off.join(F.broadcast(middle), "i").select("i", "x", "y", "n", kept.alias("trust")), "points")
+    return stored(off.join(F.broadcast(middle), "i").select("i", "x", "y", "n", "chunk", kept.alias("trust")), "points")

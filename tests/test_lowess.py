@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import backframe.operators.lowess as lowess
+from backframe.session import stored
 
 
 def plain_lowess(x, y, share, rounds):
@@ -109,3 +110,21 @@ def test_missing_values_and_tiny_columns(spark):
     assert got["b", 2.0] == pytest.approx(1.0)
     assert lowess.lowess_trend(df.limit(0), ["a"], "y").count() == 0
     assert lowess.lowess_trend(df, ["c"], "y").count() == 0
+
+
+def test_rounds_join_no_levels_and_make_only_the_sums_asked_for(spark, monkeypatch):
+    plans = []
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(lowess, "stored", seen)
+    df = spark.createDataFrame([(float(i % 400), float(i % 7)) for i in range(1200)], "x double, y double")
+    curve = lowess.lowess_trend(df, ["x"], "y", rounds=2, chunk=64)
+    assert curve.count() == 400
+    sums = [plan for name, plan in plans if name == "level-sums"]
+    assert len(sums) == 3 and not any("Join" in plan for plan in sums)
+    part = lowess.Part(np.array([1.0, 2.0, 4.0]), (np.ones(3), np.arange(3.0)))
+    assert part.upto[0][-1, 0] == 3.0 and "on" not in vars(part)
+    assert part.on[1][0, 0] == 3.0 and part.on[1][-1, 0] == 0.0
