@@ -33,7 +33,7 @@ def feature_summary(
     df = stored(df.select(response, *columns), "summary-rows")
     difference = mean_of_response(df, response, columns, bins)
     statistics = logit_univariate(df, columns, response).select("name", "z_value", "p_value")
-    importance = forest_importance(df, columns, response, trees, seed)
+    importance = forest_importance(df, columns, response, trees, seed, is_stored=True)
     return difference.join(statistics, "name").join(importance, "name")
 
 

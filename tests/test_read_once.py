@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from backframe.operators import distribution, models, selection
+from backframe.session import stored
 
 ROWS = 600
 
@@ -53,3 +54,14 @@ def test_importance_and_feature_summary(costly):
     assert handed_out() == ROWS
     assert selection.feature_summary(df, ["a", "b"], "y", trees=2).count() == 2
     assert handed_out() == 2 * ROWS
+
+
+def test_rows_stored_before_are_not_stored_again(costly, monkeypatch):
+    df, handed_out = costly
+    written = []
+    for module in (models, selection):
+        monkeypatch.setattr(module, "stored", lambda frame, name: written.append(name) or stored(frame, name))
+    got = selection.feature_summary(df, ["a", "b"], "y", trees=2)
+    assert written == ["summary-rows"] and handed_out() == ROWS
+    shares = {r["name"]: r["importance"] for r in got.collect()}
+    assert sum(shares.values()) == pytest.approx(1.0)
